@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, line_dedup, mixing, quality, secrets, warc
+from . import bpe, embeddings, line_dedup, mixing, quality, secrets, suffixes, warc
 from .common import table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_deduped(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(text_or_empty(), 256).alias("kept_sha256"))
@@ -56,6 +60,6 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc_transactions, op2_byte_bpe, op3_mix_sources, op5_line_dedup, op6_secret_scan, op7_quality_rules, op10_embedding_dedup)
+    for f in (op1_warc_transactions, op2_byte_bpe, op3_mix_sources, op4_suffix_dedup, op5_line_dedup, op6_secret_scan, op7_quality_rules, op10_embedding_dedup)
 }
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op10_embedding_dedup": embeddings.ORACLE}
