@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +35,28 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def grouped(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of a stream that is sorted by `keys`, a frame a group; holds one group and one batch."""
+    held: list[pd.DataFrame] = []
+
+    def cuts(pdf: pd.DataFrame) -> np.ndarray:
+        return np.flatnonzero(np.logical_or.reduce([pdf[k].to_numpy()[1:] != pdf[k].to_numpy()[:-1] for k in keys])) + 1
+
+    for pdf in parts:
+        if not len(pdf):
+            continue
+        held.append(pdf)
+        if len(held) > 1 and all(held[0][k].iloc[-1] == pdf[k].iloc[-1] for k in keys):
+            continue
+        whole = pd.concat(held, ignore_index=True) if len(held) > 1 else pdf
+        at = [0, *cuts(whole)]
+        for a, b in zip(at[:-1], at[1:]):
+            yield whole.iloc[a:b]
+        held = [whole.iloc[at[-1] :]]
+    if held:
+        whole = pd.concat(held, ignore_index=True)
+        at = [0, *cuts(whole), len(whole)]
+        for a, b in zip(at[:-1], at[1:]):
+            yield whole.iloc[a:b]

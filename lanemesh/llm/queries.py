@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, language, line_dedup, mixing, quality, secrets, suffixes, warc
+from . import bpe, embeddings, jaccard, language, line_dedup, mixing, quality, secrets, suffixes, warc
 from .common import table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc_transactions, op2_byte_bpe, op3_mix_sources, op4_suffix_dedup, op5_line_dedup, op6_secret_scan, op7_quality_rules, op9_language_crf, op10_embedding_dedup)
+    for f in (op1_warc_transactions, op2_byte_bpe, op3_mix_sources, op4_suffix_dedup, op5_line_dedup, op6_secret_scan, op7_quality_rules, op8_jaccard_join, op9_language_crf, op10_embedding_dedup)
+}
+ORACLES: dict[str, str] = {
+    "op8_jaccard_join": jaccard.ORACLE,
+    "op3_mix_sources": mixing.ORACLE,
+    "op5_line_dedup": line_dedup.ORACLE,
+    "op10_embedding_dedup": embeddings.ORACLE,
 }
-ORACLES: dict[str, str] = {"op3_mix_sources": mixing.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op10_embedding_dedup": embeddings.ORACLE}
