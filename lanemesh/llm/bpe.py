@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from itertools import chain, islice
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -45,28 +46,62 @@ class PrefixEncoder:
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=1)
         self.bytes_of = dict(zip(ranks.values(), ranks))
-        self._joins: dict[tuple[int, int], bool] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Plain rank-ordered merging; used on two tokens at a time to decide whether they may meet."""
+        self._joins: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self.finder = ahocorasick.Automaton()
+        for data, token in ranks.items():
+            self.finder.add_word(data.decode("latin-1"), (token, len(data)))
+        self.finder.make_automaton()
+
+    def merged(self, data: bytes, least: int = 1) -> list[bytes]:
+        """Plain rank-ordered merging, down to `least` parts."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > least:
             best, at = min((self.ranks.get(a + b, sys.maxsize), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if best == sys.maxsize:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes `token`; None if merging its bytes doesn't lead there."""
+        if token not in self._halves:
+            parts = self.merged(self.bytes_of[token], 2)
+            self._halves[token] = tuple(self.ranks[p] for p in parts) if len(parts) == 2 else None
+        return self._halves[token]
 
     def may_meet(self, left: int, right: int) -> bool:
-        """left -1: `right` begins the string, so it must be what its own bytes merge to."""
-        known = self._joins.get((left, right))
+        """Does merging the bytes of both give these two tokens? left -1: is `right` what its own bytes give?
+
+        Merges are undone from the latest on. Of each two parts that lie side by side across the
+        border at some time, it is asked whether they would have merged before what was undone last.
+        """
+        key = (left + 1 << 32) + right
+        known = self._joins.get(key)
         if known is None:
             if len(self._joins) > 1_000_000:
                 self._joins.clear()
-            both = [right] if left < 0 else [left, right]
-            known = self._joins[left, right] = self.merged(b"".join(self.bytes_of[t] for t in both)) == both
+            known = self._joins[key] = self._meet(left, right)
         return known
 
+    def _meet(self, left: int, right: int) -> bool:
+        single = lambda t: len(self.bytes_of[t]) == 1
+        for token in (left, right):
+            if token >= 0 and not single(token) and self.halves(token) is None:
+                return False
+        bound, own = sys.maxsize, True  # own: a merge of equal rank across the border comes first
+        while left >= 0:
+            across = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
+            if across is not None and (across < bound or (across == bound and own)):
+                return False
+            if single(right) and single(left):
+                return True
+            if single(right) or (not single(left) and left > right):
+                bound, own, left = left, False, self.halves(left)[1]
+            else:
+                bound, own, right = right, True, self.halves(right)[0]
+        return True
+
     def last_token(self, data: bytes, last: list[int], end: int) -> int:
         for begin in range(max(0, end - self.longest), end):
             token = self.ranks.get(data[begin:end])
@@ -76,9 +111,15 @@ class PrefixEncoder:
 
     def table(self, data: bytes) -> list[int]:
         """Entry j: the last token of the encoding of data[:j]; entry 0 is -1."""
-        last = [-1]
-        for end in range(1, len(data) + 1):
-            last.append(self.last_token(data, last, end))
+        last, joins = [-1] + [-2] * len(data), self._joins
+        for at, (token, size) in self.finder.iter(data.decode("latin-1")):
+            if last[at + 1] == -2:
+                left = last[at + 1 - size]
+                known = joins.get((left + 1 << 32) + token)
+                if known or (known is None and self.may_meet(left, token)):
+                    last[at + 1] = token
+        if -2 in last:
+            raise ValueError("the vocabulary lacks a byte")
         return last
 
     def read_off(self, last: list[int]) -> list[int]:
