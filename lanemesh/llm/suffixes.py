@@ -17,7 +17,7 @@ Documents that are copies of an earlier one are recognised by length and SHA-256
 
 Defined cases: a null text counts as empty; shorter texts than `length` lose nothing; texts of any
 length are handled whole, in overlapping segments; rows that repeat a doc_id and text are one document
-and come out alike; a null doc_id comes before all others; an empty table gives an empty one; other
+with one row; a null doc_id comes before all others; an empty table gives an empty one; other
 columns are ignored.
 """
 
@@ -46,7 +46,6 @@ _random = np.random.default_rng(77)
 TABLE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-ANCHOR = np.dtype([("h", "<u8"), ("p", "<i8"), ("a", "u1"), ("b", "u1")])
 SINGLE = np.dtype([("h", "<u8"), ("p", "<i8"), ("d", "<i8"), ("a", "u1"), ("b", "u1")])
 
 
@@ -177,7 +176,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
 
 
 def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """doc_id, anchors (packed ANCHOR rows): anchors whose hash occurs twice or more anywhere."""
+    """bucket (doc_id modulo buckets), n, data (n packed SINGLE rows): anchors whose hash occurs twice or more anywhere."""
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +210,7 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     ask.setdefault(b, []).append(_unpacked(data, n, SINGLE))
                 else:
                     ready.append(_unpacked(data, n, SINGLE))
-            if sum(map(len, ready)) > 200_000:
+            if sum(map(len, ready)) > 1_000_000:
                 yield from by_document(np.concatenate(ready))
                 ready = []
         for b, parts in ask.items():
@@ -224,24 +223,26 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             if b in tell:
                 twice |= np.isin(h, np.unique(np.concatenate(tell[b])))
             ready.append(x[order[twice]])
-            if sum(map(len, ready)) > 200_000:
+            if sum(map(len, ready)) > 1_000_000:
                 yield from by_document(np.concatenate(ready))
                 ready = []
         if ready:
             yield from by_document(np.concatenate(ready))
 
     def by_document(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(x):
-            x = x[np.lexsort((x["p"], x["d"]))]
-            cut = np.r_[np.flatnonzero(np.r_[True, x["d"][1:] != x["d"][:-1]]), len(x)]
-            own = np.empty(len(x), ANCHOR)
-            for name in ANCHOR.names:
-                own[name] = x[name]
-            raw = pa.BinaryArray.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * ANCHOR.itemsize).astype(np.int32).tobytes()), pa.py_buffer(own.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(x["d"][cut[:-1]]), raw], names=["doc_id", "anchors"])
+        to = x["d"] % buckets
+        order = np.lexsort((x["p"], x["d"], to))
+        x, to = x[order], to[order]
+        cut = np.searchsorted(to, np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(cut))
+        if len(full):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(full, pa.int32()), pa.array(np.diff(cut)[full], pa.int64()),
+                pa.array([_packed(x[cut[b] : cut[b + 1]]) for b in full], pa.binary()),
+            ], names=["bucket", "n", "data"])
 
     blobs = docs.mapInArrow(deal, "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
-    return blobs.mapInArrow(meet, "doc_id long, anchors binary")
+    return blobs.mapInArrow(meet, "bucket int, n long, data binary")
 
 
 def hot_cells(shared: DataFrame, hot_rows: int) -> np.ndarray:
@@ -250,22 +251,37 @@ def hot_cells(shared: DataFrame, hot_rows: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for data in batch.column("anchors"):
-                np.add.at(total, (np.frombuffer(data.as_py(), ANCHOR)["h"] % np.uint64(CELLS)).astype(np.int64), 1)
+            for n, data in zip(batch.column("n"), batch.column("data")):
+                total += np.bincount((_unpacked(data.as_py(), n.as_py(), SINGLE)["h"] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         cell = np.flatnonzero(total)
         for at in range(0, len(cell), 100_000):
             c = cell[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(total[c])], names=["cell", "n"])
 
-    hot = shared.select("anchors").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("cell")
+    hot = shared.select("n", "data").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("cell")
     bits = np.zeros(CELLS, bool)
     for row in hot.toLocalIterator():
         bits[row[0]] = True
     return np.packbits(bits)
 
 
-SNIPPETS = "key long, doc long, lo long, n int, data binary"
-SNIPPET_SCHEMA = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("n", pa.int32()), ("data", pa.binary())])
+SNIPPETS = "key long, doc long, lo long, n int, a int, data binary"
+SNIPPET_SCHEMA = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("n", pa.int32()), ("a", pa.int32()), ("data", pa.binary())])
+
+
+def compressed(rows: DataFrame) -> DataFrame:
+    """doc_id, n (bytes of the text), data: texts as they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _utf8(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()), pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in texts], pa.binary())], names=["doc_id", "n", "data"])
+
+    return rows.mapInArrow(run, "doc_id long, n long, data binary")
+
+
+def text_of(data: pa.Scalar, n: pa.Scalar) -> bytes:
+    return pa.decompress(data.as_py(), n.as_py(), codec="zstd", asbytes=True)
 
 
 def combined(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndarray, data: pa.Array) -> np.ndarray:
@@ -279,49 +295,65 @@ def combined(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndarray, da
     return out
 
 
-def snippets(joined: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
-    """joined: doc_id, text, lists (of packed anchors). Rows without data are runs of starts already known to repeat."""
-    shipped = joined.sparkSession.sparkContext.broadcast(hot.tobytes())
+def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int, hot: np.ndarray, buckets: int) -> DataFrame:
+    """The bytes around the shared anchors of all texts but copies. Rows without data are runs of starts already known to repeat."""
+    shipped = texts.sparkSession.sparkContext.broadcast(hot.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_hot = np.unpackbits(np.frombuffer(shipped.value, np.uint8)).astype(bool)
         any_hot = bool(is_hot.any())
 
         def flush(rows: list) -> Iterator[pa.RecordBatch]:
-            key, doc, lo, n = (np.concatenate([r[k] for r in rows]) for k in range(4))
-            data = pa.array([d for r in rows for d in r[4]], pa.binary())
+            key, doc, lo, n, top = (np.concatenate([r[k] for r in rows]) for k in range(5))
+            data = pa.array([d for r in rows for d in r[5]], pa.binary())
             head = combined(key, doc, lo, n, data)
-            same = (doc[head] == doc) & (lo[head] == lo)
-            known = (head != np.arange(len(head))) & ~same
             keep = head == np.arange(len(head))
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep | known]) for x in (key, doc, lo, n)] + [pc.if_else(pa.array(keep), data, pa.scalar(None, pa.binary())).filter(pa.array(keep | known))], schema=SNIPPET_SCHEMA)
-
-        rows, held = [], 0
+            known = ~keep & ((doc[head] != doc) | (lo[head] != lo))
+            key = np.where(known, doc * 1_000_003 + lo, key)  # what is known needn't meet others
+            use = pa.array(keep | known)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep | known]) for x in (key, doc, lo, n, top)] + [pc.if_else(pa.array(keep), data, pa.scalar(None, pa.binary())).filter(use)], schema=SNIPPET_SCHEMA)
+
+        def cut(doc_id: int, text: bytes, x: np.ndarray) -> tuple:
+            key, top, low, p = x["h"].view(np.int64), x["a"].astype(np.int64), x["b"].astype(np.int64), x["p"]
+            split = is_hot[(x["h"] % np.uint64(CELLS)).astype(np.int64)] if any_hot else np.zeros(len(x), bool)
+            if split.any():
+                parts = [(key[~split], top[~split], low[~split], p[~split])]
+                for q in range((length - K) // STEP + 1):
+                    a, b = np.minimum(top, q * STEP + STEP - 1), np.maximum(low, q * STEP)
+                    on = split & (a >= b)
+                    core = [hashlib.blake2b(text[s - q * STEP : s - q * STEP - STEP + 1 + length], digest_size=8).digest() for s in p[on]]
+                    parts.append((np.frombuffer(b"".join(core), np.int64) + q, a[on], b[on], p[on]))
+                key, top, low, p = (np.concatenate(c) for c in zip(*parts))
+            lo, n = p - top, (top - low + 1).astype(np.int32)
+            return key, np.full(len(p), doc_id), lo, n, top.astype(np.int32), [text[s : s + w] for s, w in zip(lo.tolist(), (n + (length - 1)).tolist())]
+
+        rows, held, bucket, marks, without, own = [], 0, None, [], set(), None
         for batch in batches:
-            for doc_id, text, lists in zip(_ids(batch.column("doc_id")), batch.column("text").cast(pa.binary()), batch.column("lists")):
-                text = text.as_py() or b""
-                x = np.frombuffer(b"".join(lists.as_py()), ANCHOR)
-                key, top, low, p = x["h"].view(np.int64), x["a"].astype(np.int64), x["b"].astype(np.int64), x["p"]
-                split = is_hot[(x["h"] % np.uint64(CELLS)).astype(np.int64)] if any_hot else np.zeros(len(x), bool)
-                if split.any():
-                    parts = [(key[~split], top[~split], low[~split], p[~split])]
-                    for q in range((length - K) // STEP + 1):
-                        a, b = np.minimum(top, q * STEP + STEP - 1), np.maximum(low, q * STEP)
-                        on = split & (a >= b)
-                        core = [hashlib.blake2b(text[s - q * STEP : s - q * STEP - STEP + 1 + length], digest_size=8).digest() for s in p[on]]
-                        parts.append((np.frombuffer(b"".join(core), np.int64) + q, a[on], b[on], p[on]))
-                    key, top, low, p = (np.concatenate(c) for c in zip(*parts))
-                lo, n = p - top, (top - low + 1).astype(np.int32)
-                cuts = [text[s : s + w] for s, w in zip(lo.tolist(), (n + (length - 1)).tolist())]
-                rows.append((key, np.full(len(p), doc_id), lo, n, cuts))
-                held += len(cuts)
+            for b, kind, doc_id, n, data in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "n", "data"))):
+                kind, doc_id = kind.as_py(), doc_id.as_py()
+                if b.as_py() != bucket:
+                    bucket, marks, without, own = b.as_py(), [], set(), None
+                if kind == 0:
+                    marks.append(_unpacked(data.as_py(), n.as_py(), SINGLE))
+                elif kind == 1:
+                    without.add(doc_id)
+                elif doc_id not in without and marks:
+                    if own is None:
+                        own = np.concatenate(marks)
+                        own = own[np.argsort(own["d"], kind="stable")]
+                    lo, hi = np.searchsorted(own["d"], doc_id), np.searchsorted(own["d"], doc_id, side="right")
+                    if hi > lo:
+                        rows.append(cut(doc_id, text_of(data, n), own[lo:hi]))
+                        held += len(rows[-1][5])
                 if held > 150_000:
                     yield from flush(rows)
                     rows, held = [], 0
         if rows:
             yield from flush(rows)
 
-    return joined.mapInArrow(run, SNIPPETS)
+    row = lambda df, kind: df.select(F.pmod("doc_id", F.lit(buckets)).cast("int").alias("bucket") if "doc_id" in df.columns else "bucket", F.lit(kind).alias("kind"), F.col("doc_id") if "doc_id" in df.columns else F.lit(None).cast("long").alias("doc_id"), F.col("n") if "n" in df.columns else F.lit(0).cast("long").alias("n"), F.col("data") if "data" in df.columns else F.lit(None).cast("binary").alias("data"))
+    dealt = row(shared, 0).unionByName(row(copies, 1)).unionByName(row(texts, 2))
+    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, SNIPPETS)
 
 
 class Suffixes:
@@ -376,23 +408,35 @@ class Suffixes:
         return at
 
 
-def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndarray, data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and starts of windows with an earlier equal window under the same key. Rows are distinct."""
+def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndarray, top: np.ndarray, data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and starts of windows with an earlier equal window under the same key. Rows are distinct.
+
+    top: how far a row's anchor lies behind its first start. Equal windows have it at the same place.
+    """
     order = np.argsort(key, kind="stable")
     begin = np.concatenate(([0], np.cumsum([len(data[i]) for i in order])))[:-1]
     text = np.frombuffer(b"".join(data[i] for i in order), np.uint8)
-    key, doc, lo, n = key[order], doc[order], lo[order], n[order].astype(np.int64)
+    key, doc, lo, n, top = key[order], doc[order], lo[order], n[order].astype(np.int64), top[order].astype(np.int64)
     row = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    fresh = np.cumsum(np.r_[True, key[1:] != key[:-1]])
+    group = fresh[row] * (length + 1) + top[row] - step
+    together = np.argsort(group, kind="stable")
+    group = group[together]
+    new = np.r_[True, group[1:] != group[:-1]]
+    several = ~(new & np.r_[new[1:], True])
+    row, step, group = row[together][several], step[together][several], group[several]
+    if not len(row):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     at, start = begin[row] + step, lo[row] + step
     suffixes = Suffixes(text, length)
-    sorted_at = suffixes.sort(at, key[row])
+    sorted_at = suffixes.sort(at, group)
     owner = np.empty(len(text) + 1, np.int64)
     owner[at] = np.arange(len(at))
     own = owner[sorted_at]
     same = np.zeros(len(own), bool)
     if len(own) > 1:
-        near = np.flatnonzero(key[row[own[1:]]] == key[row[own[:-1]]])
+        near = np.flatnonzero(group[1:] == group[:-1])
         same[near + 1] = suffixes.common(sorted_at[near + 1], sorted_at[near]) == length
     # Collisions are told by the bytes themselves, against the neighbour, which takes in the whole class.
     check = np.flatnonzero(same)
@@ -403,7 +447,7 @@ def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndar
     rank = np.empty(len(own), np.int64)
     rank[np.lexsort((start, doc[row]))] = np.arange(len(own))
     heads = np.flatnonzero(~same)
-    best = np.minimum.reduceat(rank[own], heads) if len(own) else rank
+    best = np.minimum.reduceat(rank[own], heads)
     first = best[np.cumsum(~same) - 1]
     place = np.empty(len(own), np.int64)
     place[rank] = np.arange(len(own))
@@ -428,7 +472,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         x = pa.Table.from_batches(held).combine_chunks()
         if not x.num_rows:
             return
-        key, doc, lo, n = (x.column(c).to_numpy() for c in ("key", "doc", "lo", "n"))
+        key, doc, lo, n, top = (x.column(c).to_numpy() for c in ("key", "doc", "lo", "n", "a"))
         data = x.column("data").combine_chunks()
         data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
         head = combined(key, doc, lo, n, data)
@@ -448,7 +492,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         for end in ends:
             if total[end - 1] - (total[begin - 1] if begin else 0) >= 400_000 or end == len(keep):
                 i = keep[begin:end]
-                d, s = repeated_starts(key[i], doc[i], lo[i], n[i], data.take(pa.array(i)).to_pylist(), length)
+                d, s = repeated_starts(key[i], doc[i], lo[i], n[i], top[i], data.take(pa.array(i)).to_pylist(), length)
                 if len(d):
                     o = np.lexsort((s, d))
                     yield runs(d[o], s[o], np.ones(len(o), np.int64))
@@ -474,7 +518,7 @@ def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 
 
 def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left, with `texts`)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left, with `texts`; null where nothing went)."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_or_empty().alias("text"))
     status = materialized(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")
@@ -489,8 +533,8 @@ def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, t
     status = materialized(status.join(first, on, "left").select("doc_id", "n_bytes", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")).distinct(), "suffix-status")
 
     shared = materialized(shared_anchors(rows, length, buckets), "suffix-anchors")
-    lists = shared.groupBy("doc_id").agg(F.collect_list("anchors").alias("lists")).join(status.where("not copy").select("doc_id"), "doc_id")
-    found = snippets(rows.join(lists, "doc_id"), length, hot_cells(shared, hot_rows))
+    texts_ = compressed(rows.where(F.octet_length("text") >= length))
+    found = snippets(texts_, shared, status.where("copy").select("doc_id"), length, hot_cells(shared, hot_rows), buckets)
     runs = materialized(repeats(found, length, parts), "suffix-runs")
     cuts = runs.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
@@ -499,8 +543,8 @@ def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, t
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, own in zip(batch.column("doc_id"), batch.column("text").cast(pa.binary()), batch.column("runs")):
-                text, at, kept = text.as_py(), 0, []
+            for doc_id, n, data, own in zip(*(batch.column(c) for c in ("doc_id", "n", "data", "runs"))):
+                text, at, kept = text_of(data, n), 0, []
                 gone = merged([(r["lo"], r["hi"]) for r in own.as_py()], length)
                 for a, b in gone:
                     kept.append(text[at:a])
@@ -510,7 +554,7 @@ def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, t
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-    changed = rows.join(cuts, "doc_id").mapInArrow(cut, "doc_id long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id"])
+    changed = texts_.join(cuts, "doc_id").mapInArrow(cut, "doc_id long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id"])
     whole = F.col("copy") & (F.col("n_bytes") >= length)
     result = status.join(changed, "doc_id", "left").select(
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "n_bytes",
