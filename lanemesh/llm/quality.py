@@ -30,10 +30,10 @@ BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 RUN = 5
 #: Ratio, its expression, the least spread its quartiles count as, and whether too low fails as well.
 RATIOS = (
-    ("word_length", "word_chars / n_words", 0.3, True),
-    ("symbols", "n_symbols / n_words", 0.02, False),
-    ("dup_lines", "n_dup_lines / n_lines", 0.05, False),
-    ("repeats", "n_repeat_words / n_words", 0.03, False),
+    ("word_length", "try_divide(word_chars, n_words)", 0.3, True),
+    ("symbols", "try_divide(n_symbols, n_words)", 0.02, False),
+    ("dup_lines", "try_divide(n_dup_lines, n_lines)", 0.05, False),
+    ("repeats", "try_divide(n_repeat_words, n_words)", 0.03, False),
 )
 GAMMA = 1.02
 
