@@ -151,7 +151,7 @@ def linked(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-4, bloc
     salts = 8
     shared = classes.where("mult > 1").select(F.col("label").alias("c_label"), F.col("embedding").alias("c_embedding"), F.col("rep").alias("shared_rep"), F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
     on = (F.col("label") == F.col("c_label")) & (F.col("embedding") == F.col("c_embedding")) & (F.pmod(F.xxhash64("vec_id"), F.lit(salts)) == F.col("salt"))
-    members = raw.join(shared, on, "left").select("vec_id", F.coalesce("shared_rep", "vec_id").alias("rep"))
+    members = raw.join(shared, on, "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("shared_rep", "vec_id")).alias("rep"))
     return members.join(result, F.col("rep") == F.col("c_rep"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
