@@ -53,7 +53,7 @@ def corpus(rng):
     return docs
 
 
-@pytest.mark.parametrize("small", [32, 4])
+@pytest.mark.parametrize("small", [8, 3])
 def test_equals_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(jaccard, "SMALL", small)
     docs = corpus(random.Random(1))
