@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 from ..constants import EARTH_KM, MILES_PER_KM
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def point(lon: Column, lat: Column) -> Column:
     return F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
 
@@ -103,9 +109,12 @@ def north_south(box: Column) -> Column:
 def geoprox_key(line: Column) -> Column:
     """Hexadecimal digits of the first point's scaled lon and lat in turn; a lat that is too short gives zeros."""
     digits = lambda x: F.lower(F.hex(F.floor(F.abs(x * 100000) + 0.5).cast("long")))
-    lon, lat = digits(first(line)["lon"]), digits(first(line)["lat"])
-    each = F.transform(F.sequence(F.lit(1), F.length(lon)), lambda i: F.concat(F.substr(lon, i, F.lit(1)), F.when(i <= F.length(lat), F.substr(lat, i, F.lit(1))).otherwise("0")))
-    return F.array_join(each, "")
+
+    def turns(d: Column) -> Column:
+        lat = F.rpad(d["lat"], F.greatest(F.length(d["lon"]), F.length(d["lat"])), F.lit("0"))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(d["lon"])), lambda i: F.concat(F.substr(d["lon"], i, F.lit(1)), F.substr(lat, i, F.lit(1)))), "")
+
+    return let(F.struct(digits(first(line)["lon"]).alias("lon"), digits(first(line)["lat"]).alias("lat")), turns)
 
 
 def node_key(p: Column, decimals: int) -> Column:

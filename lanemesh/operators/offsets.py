@@ -30,57 +30,83 @@ def with_vertices(references: DataFrame) -> DataFrame:
     """Adds node_ids, length_km and vertices; these are null where the numbers of nodes and vertices differ.
 
     The node of a vertex is the one at its place before adjacent duplicates were dropped. The last
-    vertex gets the line's length itself.
+    vertex gets the line's length itself. One fold over the points does it all.
     """
     df = references.withColumn("node_ids", scalars.node_sequence(F.col("way_sections"))).withColumn("length_km", geo.length_km(F.col("geometry")))
-    numbered = F.transform("geometry", lambda p, i: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), i.alias("i")))
-    keep = F.filter(numbered, lambda v, i: (i == 0) | ~(
-        (v["lon"] == F.element_at("geometry", F.greatest(i, F.lit(1)).cast("int"))["lon"]) & (v["lat"] == F.element_at("geometry", F.greatest(i, F.lit(1)).cast("int"))["lat"])))
-    df = df.withColumn("v", keep).withColumn("sums", cumulative(geo.segment_lengths(F.col("v"))))
-    total = F.col("length_km")
+    kind = "struct<n:int,at:double,v:array<struct<lon:double,lat:double,i:int,poff:double>>>"
+    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("at"), F.array().alias("v")).cast(kind)
 
-    def vertex(v: Column, i: Column) -> Column:
-        poff = F.when(i == F.size("v") - 1, total).otherwise(F.element_at("sums", (i + 1).cast("int")))
-        poff = F.when(i == 0, F.lit(0.0)).otherwise(poff)
-        return F.struct(v["lon"].alias("lon"), v["lat"].alias("lat"), F.try_element_at("node_ids", (v["i"] + 1).cast("int")).alias("node_id"), poff.alias("poff"), (total - poff).alias("noff"))
+    def step(acc: Column, p: Column) -> Column:
+        before = F.try_element_at(acc["v"], F.lit(-1))
+        new = before.isNull() | (before["lon"] != p["lon"]) | (before["lat"] != p["lat"])
+        at = acc["at"] + F.when(before.isNull(), 0.0).otherwise(geo.distance_km(before, p))
+        one = F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), acc["n"].alias("i"), at.alias("poff"))
+        return F.struct((acc["n"] + 1).alias("n"), at.alias("at"), F.when(new, F.concat(acc["v"], F.array(one))).otherwise(acc["v"]).alias("v")).cast(kind)
 
-    fits = F.col("node_ids").isNotNull() & (F.size("node_ids") == F.size("v"))
-    return df.withColumn("vertices", F.when(fits, F.transform("v", vertex))).drop("v", "sums")
+    folded = F.aggregate("geometry", start, step)["v"]
+
+    def finished(x: Column) -> Column:
+        last = F.size(x["v"]) - 1
+
+        def vertex(v: Column, i: Column) -> Column:
+            poff = F.when((i == last) & (i > 0), x["total"]).otherwise(v["poff"])
+            return F.struct(v["lon"].alias("lon"), v["lat"].alias("lat"), F.try_element_at(x["nodes"], v["i"] + 1).alias("node_id"), poff.alias("poff"), (x["total"] - poff).alias("noff"))
+
+        return F.when(x["nodes"].isNotNull() & (F.size(x["nodes"]) == F.size(x["v"])), F.transform(x["v"], vertex))
+
+    return df.withColumn("vertices", geo.let(F.struct(folded.alias("v"), F.col("length_km").alias("total"), F.col("node_ids").alias("nodes")), finished))
+
+
+def measured(line: Column) -> Column:
+    """A line as an array of (lon, lat, s), s being the distance along it."""
+    return geo.let(F.struct(line.alias("p"), cumulative(geo.segment_lengths(line)).alias("s")), lambda x: F.transform(x["p"], lambda p, i: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), F.element_at(x["s"], i + 1).alias("s"))))
 
 
 def nearest_km(line: Column, p: Column) -> Column:
     """Distance along the line to its point nearest to p, in a plane tangent at p; ties go to the first."""
-    sums = cumulative(geo.segment_lengths(line))
-    scale = F.cos(F.radians(p["lat"]))
-    xy = F.transform(line, lambda q: F.struct(((q["lon"] - p["lon"]) * scale).alias("x"), (q["lat"] - p["lat"]).alias("y")))
 
-    def place(i: Column) -> Column:
-        a, b = F.element_at(xy, i), F.element_at(xy, i + 1)
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        span = dx * dx + dy * dy
-        t = F.when(span == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(a["x"] * dx + a["y"] * dy) / F.nullif(span, F.lit(0.0)))))
-        px, py = a["x"] + t * dx, a["y"] + t * dy
-        return F.struct((px * px + py * py).alias("d"), (F.element_at(sums, i) + t * (F.element_at(sums, i + 1) - F.element_at(sums, i))).alias("at"))
+    def search(x: Column) -> Column:
+        scale = F.cos(F.radians(x["p"]["lat"]))
+
+        def place(i: Column) -> Column:
+            a, b = F.element_at(x["m"], i), F.element_at(x["m"], i + 1)
+            ax, ay = (a["lon"] - x["p"]["lon"]) * scale, a["lat"] - x["p"]["lat"]
+            dx, dy = (b["lon"] - a["lon"]) * scale, b["lat"] - a["lat"]
+            ends = F.struct(ax.alias("ax"), ay.alias("ay"), dx.alias("dx"), dy.alias("dy"), a["s"].alias("sa"), b["s"].alias("sb"))
+
+            def foot(e: Column) -> Column:
+                span = e["dx"] * e["dx"] + e["dy"] * e["dy"]
+                t = F.when(span == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(e["ax"] * e["dx"] + e["ay"] * e["dy"]) / F.nullif(span, F.lit(0.0)))))
+                return geo.let(t, lambda t: F.struct((F.pow(e["ax"] + t * e["dx"], 2) + F.pow(e["ay"] + t * e["dy"], 2)).alias("d"), (e["sa"] + t * (e["sb"] - e["sa"])).alias("at")))
+
+            return geo.let(ends, foot)
 
-    return F.when(F.size(line) >= 2, F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(line) - 1, F.lit(1))), place))["at"])
+        return F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(x["m"]) - 1, F.lit(1))), place))["at"]
+
+    return F.when(F.size(line) >= 2, geo.let(F.struct(measured(line).alias("m"), p.alias("p")), search))
+
+
+def _along(m: Column, km: Column) -> Column:
+    k = F.greatest(F.lit(1), F.least(F.size(m) - 1, F.size(F.filter(m, lambda v: v["s"] <= km))))
+    a, b = F.element_at(m, k), F.element_at(m, k + 1)
+    inside = geo.destination(a, geo.initial_bearing(a, b), km - a["s"])
+    end = lambda v: geo.point(v["lon"], v["lat"])
+    return F.when(km <= 0, end(F.element_at(m, 1))).when(km >= F.element_at(m, -1)["s"], end(F.element_at(m, -1))).otherwise(inside)
 
 
 def point_along(line: Column, km: Column) -> Column:
     """The point at a distance along the line, the ends beyond them."""
-    lengths = geo.segment_lengths(line)
-    sums = cumulative(lengths)
-    k = F.greatest(F.lit(1), F.least(F.size(line) - 1, F.size(F.filter(sums, lambda s: s <= km))))
-    a, b = F.element_at(line, k.cast("int")), F.element_at(line, (k + 1).cast("int"))
-    rest = km - F.element_at(sums, k.cast("int"))
-    inside = geo.destination(a, geo.initial_bearing(a, b), rest)
-    return F.when(km <= 0, geo.first(line)).when(km >= F.element_at(sums, -1), geo.last(line)).otherwise(inside)
+    return geo.let(F.struct(measured(line).alias("m"), km.alias("km")), lambda x: _along(x["m"], x["km"]))
 
 
 def tail(line: Column, km: Column) -> Column:
     """The part of a line from a distance on; null beyond its end."""
-    sums = cumulative(geo.segment_lengths(line))
-    later = F.transform(F.filter(F.arrays_zip(line.alias("p"), sums.alias("s")), lambda z: z["s"] > km), lambda z: z["p"])
-    return F.when(km <= F.element_at(sums, -1), F.concat(F.array(point_along(line, km)), later))
+
+    def cut(x: Column) -> Column:
+        later = F.transform(F.filter(x["m"], lambda v: v["s"] > x["km"]), lambda v: geo.point(v["lon"], v["lat"]))
+        return F.when(x["km"] <= F.element_at(x["m"], -1)["s"], F.concat(F.array(_along(x["m"], x["km"])), later))
+
+    return geo.let(F.struct(measured(line).alias("m"), km.alias("km")), cut)
 
 
 def raw_offsets(df: DataFrame) -> DataFrame:
@@ -88,13 +114,19 @@ def raw_offsets(df: DataFrame) -> DataFrame:
 
     The end is sought from half a match's length behind its start, so that loops are told apart.
     """
-    start = nearest_km(F.col("geometry"), geo.first(F.col("match_geometry")))
-    df = df.withColumn("s", start).withColumn("from_km", F.col("s") + geo.length_km(F.col("match_geometry")) / 2).withColumn("rest", tail(F.col("geometry"), F.col("from_km")))
-    df = df.withColumn("e", F.col("from_km") + F.when(F.size("rest") >= 2, nearest_km(F.col("rest"), geo.last(F.col("match_geometry")))).otherwise(0.0))
-    poff = F.when(F.col("s") > SPLIT_BUFFER_KM, F.col("s")).otherwise(0.0)
-    noff = F.col("length_km") - F.col("e")
-    good = F.col("rest").isNotNull() & (F.col("s") <= F.col("e")) & (F.col("length_km") - noff - poff > SPLIT_BUFFER_KM)
-    return df.withColumn("raw", F.when(good, F.struct(poff.alias("poff"), noff.alias("noff")))).drop("s", "from_km", "rest", "e")
+    line, match = F.col("geometry"), F.col("match_geometry")
+
+    def found(x: Column) -> Column:
+        end = x["from_km"] + F.when(F.size(x["rest"]) >= 2, nearest_km(x["rest"], geo.last(match))).otherwise(0.0)
+        poff = F.when(x["s"] > SPLIT_BUFFER_KM, x["s"]).otherwise(0.0)
+        return geo.let(end, lambda e: F.when(
+            x["rest"].isNotNull() & (x["s"] <= e) & (e - poff > SPLIT_BUFFER_KM), F.struct(poff.alias("poff"), (F.col("length_km") - e).alias("noff"))))
+
+    def started(x: Column) -> Column:
+        return geo.let(F.struct(x["s"].alias("s"), x["from_km"].alias("from_km"), tail(line, x["from_km"]).alias("rest")), found)
+
+    begin = geo.let(nearest_km(line, geo.first(match)), lambda s: F.struct(s.alias("s"), (s + geo.length_km(match) / 2).alias("from_km")))
+    return df.withColumn("raw", geo.let(begin, started))
 
 
 def nearest_vertex(vertices: Column, field: str, at: Column, backward: bool) -> Column:
@@ -113,10 +145,10 @@ def snapped(df: DataFrame) -> DataFrame:
     poff, noff, total = F.col("raw.poff"), F.col("raw.noff"), F.col("length_km")
     start = F.when(poff <= SPLIT_BUFFER_KM, 0.0).otherwise(F.coalesce(nearest_vertex(F.col("vertices"), "poff", poff, False), poff))
     end = F.when(noff <= SPLIT_BUFFER_KM, total).otherwise(F.coalesce(nearest_vertex(F.col("vertices"), "noff", noff, True), total - noff))
-    df = df.withColumn("snap", F.struct(start.alias("start"), end.alias("end")))
-    span = F.col("snap.end") - F.col("snap.start")
-    keep = F.col("raw").isNotNull() & F.col("vertices").isNotNull() & ~((span < SPLIT_BUFFER_KM) & (span / total < LENGTH_RATIO))
-    return df.withColumn("start_dist", F.when(keep, poff)).withColumn("end_dist", F.when(keep, F.col("snap.end"))).drop("snap")
+    short = lambda x: (x["end"] - x["start"] < SPLIT_BUFFER_KM) & ((x["end"] - x["start"]) / total < LENGTH_RATIO)
+    ends = geo.let(F.struct(start.alias("start"), end.alias("end")), lambda x: F.when(F.col("raw").isNotNull() & F.col("vertices").isNotNull() & ~short(x), x["end"]))
+    df = df.withColumn("end_dist", ends)
+    return df.withColumn("start_dist", F.when(F.col("end_dist").isNotNull(), poff))
 
 
 def match_intervals(references: DataFrame, matches: DataFrame) -> DataFrame:

@@ -45,6 +45,10 @@ def generated_nodes(segments: DataFrame, nodes: DataFrame) -> tuple[DataFrame, D
     return all_, seg.withColumn("node_ids", filled).drop("id_a", "id_b")
 
 
+def _not_in(m):
+    return lambda k, v: ~F.map_contains_key(m, k)
+
+
 def way_tags(raw_tags, own, map_tags):
     """Raw tags but `oneway`, then own properties with a prefix, then map ids; always one-way. Later keys win."""
     none = F.create_map().cast("map<string,string>")
@@ -53,8 +57,7 @@ def way_tags(raw_tags, own, map_tags):
     parts = [raw, prefixed, F.coalesce(map_tags, none), F.create_map(F.lit("oneway"), F.lit("yes"))]
     out = parts[0]
     for later in parts[1:]:
-        kept = F.map_filter(out, lambda k, v, later=later: ~F.map_contains_key(later, k))
-        out = F.map_concat(kept, later)
+        out = F.map_concat(F.map_filter(out, _not_in(later)), later)
     return out
 
 
