@@ -10,8 +10,12 @@ members is not paired up. All its members are compared with one pivot. Two membe
 pivot are connected already. For all others near the pivot, their overlap follows from the pivot's
 answers: with A what a set lacks of the pivot and B what it has beyond it, |y & z| = |p| - |Ay| - |Az|
 + |Ay & Az| + |By & Bz|, so only differences are compared, through an index of the differences. If y is
-linked to the pivot and z is not even near it (twice the distance), they can't be linked. Members that
-are left go through further pivots and in the end through all pairs, so no link is lost.
+linked to the pivot and z is not even near it (twice the distance), they can't be linked. Lists that
+share members mostly get one pivot, as it is the least of the members of their members' lists. Members
+that are left go through further pivots and in the end through all pairs, so no link is lost.
+
+Before sets are sent to be compared, bitmaps of the parity of a set's hashes (two bits a token) give a
+lower bound of how many tokens two sets differ in; pairs that it rules out go no further.
 
 Defined cases: texts without words, null and empty ones are empty sets, linked with nothing; with fewer
 than N words the whole sequence is the only shingle; ties don't matter, as links are exact; rows that
@@ -35,7 +39,7 @@ from .common import grouped, materialized, text_or_empty
 from .graph import components
 from .suffixes import POWERS, TABLE, _packed, _unpacked, mix
 
-SMALL, PIVOT_ROUNDS = 32, 3
+SMALL, PIVOT_ROUNDS = 8, 4
 CELLS, CHUNKS = 1 << 21, 64
 PART_BYTES, BLOCK, SHARE = 1 << 19, 24 << 20, 32 << 20
 ENTRY = np.dtype([("t", "<i8"), ("s", "<i8"), ("n", "<u4"), ("p", "<u4")])
@@ -167,7 +171,7 @@ def levels(found: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-LISTED = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("token", pa.int64()), ("n", pa.int64())])
+LISTED = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("token", pa.int64()), ("n", pa.int64()), ("p", pa.int64())])
 
 
 def list_pairs(e: np.ndarray, percent: int) -> np.ndarray:
@@ -186,7 +190,7 @@ def list_pairs(e: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, buckets: int) -> DataFrame:
-    """Rows x, y: pairs from short lists. Rows token, x, n: members of lists above SMALL."""
+    """Rows x, y: pairs from short lists. Rows token, x, n, p: members of lists above SMALL, with the token's place."""
     shipped = rows.sparkSession.sparkContext.broadcast(level)
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
 
@@ -246,34 +250,77 @@ def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, bucke
             pairs = list_pairs(e[np.repeat(~long_ & (size > 1), size)], percent)
             if len(pairs):
                 none = pa.nulls(len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], schema=LISTED)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], schema=LISTED)
 
     def long_rows(e: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(e["s"]), pa.nulls(len(e), pa.int64()), pa.array(e["t"]), pa.array(e["n"].astype(np.int64))], schema=LISTED)
+        return pa.RecordBatch.from_arrays([pa.array(e["s"]), pa.nulls(len(e), pa.int64()), pa.array(e["t"]), pa.array(e["n"].astype(np.int64)), pa.array(e["p"].astype(np.int64))], schema=LISTED)
 
     blobs = rows.mapInArrow(deal, "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
-    return blobs.mapInArrow(meet, "x long, y long, token long, n long")
+    return blobs.mapInArrow(meet, "x long, y long, token long, n long, p long")
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """sid, tokens (sorted 64-bit hashes) of the sets in `wanted` (doc_id, sid)."""
+    """sid, n, tokens (sorted 64-bit hashes) and bits (parities) of the sets in `wanted` (doc_id, sid)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sids, texts in _text_blocks(batches, "sid"):
             flat, counts = shingle_sets(texts, n)
-            raw = [flat[b - c : b].tobytes() for b, c in zip(np.cumsum(counts).tolist(), counts.tolist())]
-            for at in range(0, len(raw), 2000):
-                yield pa.RecordBatch.from_arrays([pa.array(sids[at : at + 2000], pa.int64()), pa.array(raw[at : at + 2000], pa.binary())], names=["sid", "tokens"])
+            own = [flat[b - c : b] for b, c in zip(np.cumsum(counts).tolist(), counts.tolist())]
+            for at in range(0, len(own), 2000):
+                part = own[at : at + 2000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(sids[at : at + 2000], pa.int64()), pa.array(list(map(len, part)), pa.int64()),
+                    pa.array([x.tobytes() for x in part], pa.binary()), pa.array([parities(x) for x in part], pa.binary()),
+                ], names=["sid", "n", "tokens", "bits"])
+
+    return rows.join(wanted, "doc_id").select("sid", "text").mapInArrow(run, "sid long, n long, tokens binary, bits binary")
+
+
+def parities(tokens: np.ndarray) -> bytes:
+    """Bit i: is the number of tokens that hash to i odd? A power of two bits, two a token at least."""
+    size = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount((tokens.view(np.uint64) >> np.uint64(7)).astype(np.int64) & (size - 1), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of tokens in one of two sets only. The larger bitmap folds to the smaller one's size."""
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    la, lb = len(x), len(y)
+    while la != lb:
+        if la > lb:
+            la //= 2
+            a = (a >> (8 * la)) ^ (a & ((1 << (8 * la)) - 1))
+        else:
+            lb //= 2
+            b = (b >> (8 * lb)) ^ (b & ((1 << (8 * lb)) - 1))
+    return (a ^ b).bit_count()
+
+
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) that sizes and parities leave possible."""
+    side = lambda c: sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
 
-    return rows.join(wanted, "doc_id").select("sid", "text").mapInArrow(run, "sid long, tokens binary").dropDuplicates(["sid"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny = batch.column("n_x").to_numpy(), batch.column("n_y").to_numpy()
+            need = needed_overlap(nx, ny, percent)
+            far = np.fromiter((apart(a.as_py(), b.as_py()) for a, b in zip(batch.column("bits_x"), batch.column("bits_y"))), np.int64, batch.num_rows)
+            ok = pa.array((far <= nx + ny - 2 * need) & (need <= np.minimum(nx, ny)))
+            yield pa.RecordBatch.from_arrays([batch.column("x").filter(ok), batch.column("y").filter(ok)], names=["x", "y"])
+
+    return both.mapInArrow(run, "x long, y long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, load: int = 2000) -> DataFrame:
-    """x, y, nx, ny, linked, near, and with `differences` lack (x - y) and more (y - x) of near pairs.
+    """x, y, nx, ny, linked, near of linked pairs; with `differences` of near pairs, and lack (x - y) and more (y - x).
 
     A set travels once for each pair it is the y of; x's with more than `load` pairs are spread over
     several tasks.
     """
+    bound = near if differences else percent
+    pairs = materialized(possible(pairs, sets, bound), "jaccard-pairs")
+    sets = sets.select("sid", "tokens")
     degree = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / load).cast("int").alias("g"))
     left = pairs.join(degree, "x").withColumn("part", F.pmod(F.xxhash64("y"), F.col("g")).cast("int")).join(sets.withColumnRenamed("sid", "y"), "y").select("x", "part", "y", "tokens")
     own = degree.join(sets.withColumnRenamed("sid", "x"), "x").select("x", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("part"), F.lit(None).cast("long").alias("y"), "tokens")
@@ -297,7 +344,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differe
                 if differences:
                     lack = np.delete(tokens, at[hit]).tobytes() if close else None
                     row += [lack, own_[~hit].tobytes() if close else None]
-                if linked or differences:
+                if close or linked:
                     out.append(row)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
@@ -362,7 +409,37 @@ def difference_links(z: pd.DataFrame, y: pd.DataFrame, percent: int, most: int =
         out.append(np.stack([z_id[i], np.where(y_linked[j], int(z["x"].iloc[0]), y_id[j])], 1))
         begin = end
     links = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
-    return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
+    if not len(links):
+        return none
+    # Only which sets hang together matters: one row a set.
+    ids, flat_links = np.unique(links, return_inverse=True)
+    a, b = flat_links.reshape(-1, 2).T
+    least = np.arange(len(ids))
+    while True:
+        low = np.minimum(least[a], least[b])
+        step = least.copy()
+        np.minimum.at(step, a, low)
+        np.minimum.at(step, b, low)
+        step = step[step]
+        if (step == least).all():
+            break
+        least = step
+    child = np.flatnonzero(least != np.arange(len(ids)))
+    return pd.DataFrame({"a": ids[child], "b": ids[least[child]]})
+
+
+def pivots_of(members: DataFrame, turn: int) -> DataFrame:
+    """token, pivot. Few tokens before the list's own mark a set in the midst of others, so that is the first to be taken.
+
+    In even turns a list takes the first one of all its members' lists, which gives lists that share
+    members one pivot; in odd turns its own.
+    """
+    mark = F.struct("p", F.xxhash64("sid", F.lit(turn)).alias("h"), "sid")
+    lists = members.groupBy("token").agg(F.min(F.when(F.col("far"), mark)).alias("m"))
+    if turn % 2 == 0:
+        sets = members.select("token", "sid").join(lists, "token").groupBy("sid").agg(F.min("m").alias("m"))
+        lists = members.select("token", "sid").join(sets, "sid").groupBy("token").agg(F.min("m").alias("m"))
+    return lists.select("token", F.col("m.sid").alias("pivot"))
 
 
 def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -377,7 +454,7 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     lists = materialized(prefix_lists(rows, n, percent, levels(found), max(1, math.ceil(total / SHARE))), "jaccard-lists")
 
     pairs = lists.where("token is null").select("x", "y").distinct()
-    members = lists.where("token is not null").select("token", F.col("x").alias("sid"), "n").distinct()
+    members = lists.where("token is not null").select("token", F.col("x").alias("sid"), "n", "p").distinct()
     wanted = lists.select(F.explode(F.array("x", "y")).alias("sid")).where("sid is not null").distinct()
     tokens = materialized(sets_of(rows.where("doc_id is not null"), wanted.join(reps, "sid").select(F.col("rep").alias("doc_id"), "sid"), n), "jaccard-tokens")
     links = [materialized(verified(pairs, tokens, percent, percent, False, parts), "jaccard-links").select(F.col("x").alias("a"), F.col("y").alias("b"))]
@@ -388,18 +465,21 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         if left.isEmpty():
             break
         if turn == PIVOT_ROUNDS:
-            a, b = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "far"))) for k in "ab")
-            rest = a.join(b, "token").where("sid_a < sid_b and (far_a or far_b)").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-            rest = rest.select(F.col("sid_a").alias("x"), F.col("sid_b").alias("y")).distinct()
+            # A pair is made where its first common token is, and nowhere else.
+            all_ = left.groupBy("sid").agg(F.collect_set("token").alias("tokens"))
+            rows_ = left.join(all_, "sid")
+            a, b = (rows_.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "far", "tokens"))) for k in "ab")
+            first = F.array_min(F.array_intersect("tokens_a", "tokens_b")) == F.col("token_a")
+            on = (F.col("token_a") == F.col("token_b")) & (F.col("sid_a") < F.col("sid_b")) & (F.col("far_a") | F.col("far_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & first
+            rest = a.withColumnRenamed("token", "token_a").join(b.withColumnRenamed("token", "token_b"), on).select(F.col("sid_a").alias("x"), F.col("sid_b").alias("y"))
             links.append(materialized(verified(rest, tokens, percent, percent, False, parts), "jaccard-rest").select(F.col("x").alias("a"), F.col("y").alias("b")))
             break
-        pivots = left.groupBy("token").agg(F.min(F.when(F.col("far"), F.col("sid"))).alias("pivot"))
-        spokes = materialized(left.join(pivots, "token").where("sid <> pivot"), "jaccard-spokes")
+        spokes = materialized(left.join(pivots_of(left, turn), "token").where("sid <> pivot"), "jaccard-spokes")
         star = materialized(verified(spokes.select(F.col("pivot").alias("x"), F.col("sid").alias("y")).distinct(), tokens, percent, near, True, parts), "jaccard-star")
         links.append(star.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
         links.append(materialized(derived(star, percent, parts), "jaccard-derived"))
-        status = star.where("not linked").select(F.col("x").alias("pivot"), F.col("y").alias("sid"), "near")
-        open_ = spokes.join(status, ["pivot", "sid"]).select("token", "sid", "n", (~F.col("near")).alias("far"))
+        status = star.select(F.col("x").alias("pivot"), F.col("y").alias("sid"), "linked")
+        open_ = spokes.join(status, ["pivot", "sid"], "left").where("linked is null or not linked").select("token", "sid", "n", "p", F.col("linked").isNull().alias("far"))
         some = open_.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.count(F.when(F.col("far"), 1)).alias("f")).where("f > 0 and m > 1").select("token")
         left = materialized(open_.join(some, "token"), "jaccard-members")
 
