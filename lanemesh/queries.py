@@ -483,12 +483,12 @@ def meso_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- Overlaps
 
 
-@query(f"""WITH {F3}, m6 AS (SELECT * REPLACE (round(start_dist, 6) AS start_dist, round(end_dist, 6) AS end_dist) FROM m), h AS (SELECT reference_id, target_map, arg_min({{'s': start_dist, 'e': end_dist}}, target_map_id * 1000000 + l_suppkey * 10 + l_linenumber) AS h FROM m6 GROUP BY ALL)
+@query(f"""WITH {F3}, m6 AS (SELECT * REPLACE (round(start_dist, 6) AS start_dist, round(end_dist, 6) AS end_dist) FROM m), h AS (SELECT reference_id, target_map, arg_min({{'s': start_dist, 'e': end_dist}}, target_map_id * 1000000 + l_suppkey * 10 + l_linenumber + end_dist / 1000) AS h FROM m6 GROUP BY ALL)
 SELECT m.reference_id, m.target_map, m.target_map_id, m.l_linenumber, m.l_suppkey, CASE WHEN start_dist >= h.e OR end_dist <= h.s THEN 'NO_OVERLAP' WHEN start_dist >= h.s AND end_dist <= h.e THEN 'COVERED' WHEN start_dist >= h.s THEN 'TRAILING' WHEN end_dist <= h.e THEN 'LEADING' ELSE 'COVERS' END AS relation
 FROM m6 m JOIN h USING (reference_id, target_map)""")
 def overlap_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fx.matches(spark, sf_dir).withColumns({"start_dist": r6("start_dist"), "end_dist": r6("end_dist")})
-    h = m.groupBy("reference_id", "target_map").agg(F.min_by(F.struct(F.col("start_dist").alias("s"), F.col("end_dist").alias("e")), F.expr("target_map_id * 1000000 + l_suppkey * 10 + l_linenumber")).alias("h"))
+    h = m.groupBy("reference_id", "target_map").agg(F.min_by(F.struct(F.col("start_dist").alias("s"), F.col("end_dist").alias("e")), F.expr("target_map_id * 1000000 + l_suppkey * 10 + l_linenumber + end_dist / 1000")).alias("h"))
     return m.join(h, ["reference_id", "target_map"]).select(
         "reference_id", "target_map", "target_map_id", "l_linenumber", "l_suppkey", overlaps.classify(F.col("start_dist"), F.col("end_dist"), F.col("h.s"), F.col("h.e")).alias("relation"))
 
