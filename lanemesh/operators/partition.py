@@ -28,17 +28,19 @@ def segments(points: DataFrame, key: str = "reference_id") -> DataFrame:
     )
 
 
-def covers(start: Column, end: Column, seg_start: Column, seg_end: Column) -> Column:
-    """Does an interval cover a piece? Its ends are rounded, the piece's aren't."""
-    s, e = F.round(start, 6), F.round(end, 6)
+def covers(start: Column, end: Column, seg_start: Column, seg_end: Column, compat: bool = True) -> Column:
+    """Does an interval cover a piece? compat: its ends are rounded, the piece's aren't, so that one whose start
+    is rounded up loses its first piece, and one whose end is rounded up gets the next.
+    """
+    s, e = (F.round(start, 6), F.round(end, 6)) if compat else (start, end)
     return (s <= seg_start) & (s < seg_end) & (e > seg_start)
 
 
-def tagged(pieces: DataFrame, intervals: DataFrame, key: str = "reference_id") -> DataFrame:
+def tagged(pieces: DataFrame, intervals: DataFrame, key: str = "reference_id", compat: bool = True) -> DataFrame:
     """Pieces with the intervals that cover them: an equi-join on the reference with a range residual."""
     clash = {"start_dist", "end_dist"}
     tags = intervals.select(F.col(key).alias("tag_key"), F.col("start_dist").alias("tag_start"), F.col("end_dist").alias("tag_end"), *(c for c in intervals.columns if c not in {key, *clash}))
-    on = (F.col(key) == F.col("tag_key")) & covers(F.col("tag_start"), F.col("tag_end"), F.col("start_dist"), F.col("end_dist"))
+    on = (F.col(key) == F.col("tag_key")) & covers(F.col("tag_start"), F.col("tag_end"), F.col("start_dist"), F.col("end_dist"), compat)
     return pieces.join(tags, on).drop("tag_key", "tag_start", "tag_end")
 
 

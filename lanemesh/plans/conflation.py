@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import SPLIT_BUFFER_KM
 from ..functions import geodesy as geo
 from ..functions import scalars as s
-from ..operators import numbering, offsets, overlaps, partition
+from ..operators import grouping, numbering, offsets, overlaps, partition
 
 #: Priority among intervals of one map: the order of the match key, or primary before rank before length.
 PRIORITY = {"compat": ["from_node", "to_node", "target_map_id"], "rank": ["not_primary", "rank", "minus_length", "target_map_id"]}
@@ -23,9 +23,9 @@ def target_intervals(references: DataFrame, matches: DataFrame, priority: str =
     return overlaps.resolve(keep, PRIORITY[priority], threshold)
 
 
-def conflated(references: DataFrame, matches: DataFrame, priority: str = "compat") -> tuple[DataFrame, DataFrame]:
+def conflated(references: DataFrame, matches: DataFrame, priority: str = "compat", compat: bool = True) -> tuple[DataFrame, DataFrame]:
     """(segments, tags). Segments: one row a piece, numbered from 1 by network level and place. Tags: which
-    target-map feature covers a piece, with the piece's index within that feature.
+    target-map feature covers a piece, with the piece's index within that feature. compat: see partition.covers.
     """
     own = target_intervals(references, matches, priority)
     roads = offsets.osm_intervals(references)
@@ -36,14 +36,16 @@ def conflated(references: DataFrame, matches: DataFrame, priority: str = "compat
     base = usable.select("reference_id", "geometry_id", "reversed", "direction", F.col("from_node").alias("from_intersection"), F.col("to_node").alias("to_intersection"))
     pieces = pieces.join(base, "reference_id")
 
-    road = partition.tagged(pieces.select("reference_id", "segment_index", "start_dist", "end_dist"), roads.select("reference_id", "start_dist", "end_dist", "target_map_id", "matched_id", "rank", "one_way", "ordinal"))
+    road = partition.tagged(pieces.select("reference_id", "segment_index", "start_dist", "end_dist"), roads.select("reference_id", "start_dist", "end_dist", "target_map_id", "matched_id", "rank", "one_way", "ordinal"), compat=compat)
     road = road.groupBy("reference_id", "segment_index").agg(F.max_by(F.struct("target_map_id", "matched_id", "rank", "one_way"), "ordinal").alias("osm"))
     pieces = pieces.join(road, ["reference_id", "segment_index"], "left")
     pieces = pieces.withColumn("network_level", s.network_level(F.col("osm.rank"), F.col("osm.one_way"))).withColumn("geoprox_key", geo.geoprox_key(F.col("geometry")))
     order = ["network_level", "geoprox_key", "reference_id", "segment_index"]
     segments = numbering.number_globally(pieces, order, "id")
 
-    tags = partition.tagged(segments.select("id", "reference_id", "segment_index", "start_dist", "end_dist"), own.drop("not_primary", "minus_length", "from_node", "to_node"))
+    tags = partition.tagged(segments.select("id", "reference_id", "segment_index", "start_dist", "end_dist"), own.drop("not_primary", "minus_length", "from_node", "to_node").withColumn("tag_from", F.col("start_dist")), compat=compat)
+    # As ends are rounded, an interval can reach into the next piece; of several of a map the last one counts.
+    tags = grouping.first_of(tags, ["id", "target_map"], [F.col("tag_from").desc(), F.col("target_map_id").desc()]).drop("tag_from")
     tags = tags.withColumn("map_id", F.coalesce("matched_micro_id", "matched_id"))
     tags = numbering.index_within(tags, ["target_map", "map_id"], ["matched_meso_idx", "matched_micro_idx", "segment_index", "id"], "map_idx")
     return segments, tags
