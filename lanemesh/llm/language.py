@@ -19,6 +19,7 @@ alike; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .suffixes import POWERS, TABLE, mix
@@ -42,7 +43,7 @@ _letters[128:] = np.arange(128, 256)
 LETTERS = _letters
 
 
-def learnable() -> F.Column:
+def learnable() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull()
 
 
@@ -256,14 +257,14 @@ def train(texts: list[str], langs: list[str], rounds: int = 30, lane: int = 64,
         g[np.arange(steps), gold[:steps]] += 1
         g *= 1 / lane
 
-        def move(weights: np.ndarray, total: np.ndarray, index: np.ndarray, grad: np.ndarray) -> None:
+        def move(weights: np.ndarray, total: np.ndarray, index: np.ndarray, grad: np.ndarray, owner: np.ndarray | None = None) -> None:
             for c in range(n):
-                d = np.bincount(index, grad[:, c], len(weights)) - decay * weights[:, c]
+                d = np.bincount(index, grad[:, c] if owner is None else grad[:, c][owner], len(weights)) - decay * weights[:, c]
                 total[:, c] += d * d
                 weights[:, c] += rate * d / np.sqrt(total[:, c] + 1e-8)
 
-        move(model.grams[0], sums[0][0], two[inner], g[owner])
-        move(model.grams[1], sums[0][1], three[inner], g[owner])
+        move(model.grams[0], sums[0][0], two[inner], g, owner)
+        move(model.grams[1], sums[0][1], three[inner], g, owner)
         for k, index in enumerate(affixes):
             move(model.affixes[k], sums[1][k], index, g)
         move(model.lexicon, sums[2], h, g)
@@ -303,7 +304,7 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
     return [(w.data[a:b].tobytes().decode("utf-8", "replace"), model.labels[int(x.argmax())]) for a, b, x in zip(w.start, w.end, p)]
 
 
-def learned(docs: DataFrame, sample: int = 150, most_labels: int = 64, most_words: int = 600_000) -> Model:
+def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_words: int = 300_000) -> Model:
     """A model from a bounded sample of `docs`' labelled rows that are not held out."""
     rows = docs.where(learnable()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)).alias("h"))
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()
@@ -312,14 +313,16 @@ def learned(docs: DataFrame, sample: int = 150, most_labels: int = 64, most_word
     chosen = F.lit(False)
     for row in sizes:
         chosen = chosen | ((F.col("lang") == row["lang"]) & (F.col("h") < int(min(1.0, sample / row["count"]) * (1 << 30))))
-    texts, langs, total = [], [], 0
-    for row in rows.where(chosen).orderBy("h", "lang", "text").limit(4 * sample * len(sizes)).toLocalIterator():
-        total += row["text"].count(" ") + 1
-        if texts and total > most_words:
-            break
-        texts.append(row["text"])
-        langs.append(row["lang"])
-    return train(texts, langs)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted({(h, lang, text) for batch in batches for h, lang, text in zip(*(batch.column(c).to_pylist() for c in ("h", "lang", "text")))})
+        words = np.cumsum([len(text.split()) for _, _, text in found])
+        found = found[: max(1, int(np.searchsorted(words, most_words, side="right")))] if found else []
+        model = train([text for _, _, text in found], [lang for _, lang, _ in found])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # One task fits the bounded sample; the driver only passes the model on.
+    return pickle.loads(rows.where(chosen).coalesce(1).mapInArrow(fit, "model binary").first()["model"])
 
 
 def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
