@@ -1,8 +1,8 @@
 """A training corpus from raw documents: five stages of the operators in lanemesh.llm.
 
 Each stage takes the whole table that its predecessor wrote and returns a DataFrame; all but the last
-return the columns of `documents`. Rows with a null doc_id can't be told apart and pass every stage
-that decides by document.
+return the columns of `documents`. Rows with a null doc_id go at the first stage: decisions are by
+document, and none can be made about them. Rows that repeat a doc_id and text are kept alike.
 """
 
 from __future__ import annotations

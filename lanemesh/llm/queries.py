@@ -71,6 +71,8 @@ QUERIES: dict[str, Query] = {
     for f in (op1_warc_transactions, op2_byte_bpe, op3_mix_sources, op4_suffix_dedup, op5_line_dedup, op6_secret_scan, op7_quality_rules, op8_jaccard_join, op9_language_crf, op10_embedding_dedup)
 }
 ORACLES: dict[str, str] = {
+    "op1_warc_transactions": warc.ORACLE,
+    "op4_suffix_dedup": suffixes.ORACLE,
     "op8_jaccard_join": jaccard.ORACLE,
     "op3_mix_sources": mixing.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,

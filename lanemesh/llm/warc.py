@@ -182,3 +182,15 @@ def page_captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.col("response.record_type").alias("record_type"), urn_number(F.col("response.refers_to")).alias("refers_to"),
         F.col("response.target_uri").alias("target_uri"), F.col("response.digest_ok").alias("digest_ok"), F.col("request.record_id").alias("request_id"), F.col("metadata.record_id").alias("metadata_id"),
     )
+
+
+#: The op1 query's rows in DuckDB SQL; five hexadecimal digits make four of base 32.
+ORACLE = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(s, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31)), 1) for i in range(32)], '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to,
+  url AS target_uri, CASE WHEN first = page_id THEN true END AS digest_ok, '<urn:request:' || page_id || '>' AS request_id, '<urn:metadata:' || page_id || '>' AS metadata_id
+FROM f
+"""
