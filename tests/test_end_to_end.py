@@ -105,7 +105,7 @@ def test_matching(matched):
 
 def test_conflation_osm_exports_and_quality(spark, refs, matched, maps, folder):
     segments, tags = conflation.conflated(refs, matched, compat=False)
-    seg = segments.cache()
+    seg, tags = segments.cache(), tags.cache()
     by_ref = {}
     for r in seg.collect():
         by_ref.setdefault(r.reference_id, []).append(r)
@@ -121,7 +121,7 @@ def test_conflation_osm_exports_and_quality(spark, refs, matched, maps, folder):
     t = {(r.reference_id, r.segment_index): (r.target_map_id, r.map_idx) for r in tags.collect()}
     assert t == {("r1", 1): ("120P1", 0), ("r1", 2): ("120P1", 1), ("r1", 3): ("120P2", 0), ("r3", 1): ("10", 0)}
 
-    nodes, filled = osm.generated_nodes(seg, osm.base_nodes(refs))
+    nodes, filled = (x.cache() for x in osm.generated_nodes(seg, osm.base_nodes(refs)))
     ids = {r.id for r in nodes.collect()}
     assert ids == {1, 2, 3, 4, 5, 6}  # one made-up node after the largest id
     raw = spark.createDataFrame([(100, {"name": "Main", "oneway": "no"})], "id long, tags map<string,string>")
