@@ -37,7 +37,7 @@ from .common import materialized, text_or_empty
 
 K = 36
 #: Text handled at a time by a task of step 1; bytes hashed at a time; text bytes a task of steps 1 and 3.
-BLOCK, SEGMENT, SHARE = 24 << 20, 1 << 19, 24 << 20
+BLOCK, SEGMENT, SHARE = 24 << 20, 1 << 16, 24 << 20
 #: Cells that anchors are counted in, rows above which a cell is split by content, and windows a part.
 CELLS, HOT_ROWS, STEP = 1 << 22, 100_000, 4
 NULL_ID = -(1 << 63)
@@ -363,15 +363,23 @@ class Suffixes:
         self.data, self.length, self.prefix = data, length, prefix_hashes(data)
         _, self.down = POWERS.upto(len(data) + 1)
 
+    def equal(self, i: np.ndarray, j: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Do n bytes of suffixes i and j have the same hash?"""
+        return (self.prefix[i + n] - self.prefix[i]) * self.down[i] == (self.prefix[j + n] - self.prefix[j]) * self.down[j]
+
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """How many bytes suffixes i and j have in common, `length` at most."""
-        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), self.length)
+        """How many bytes suffixes i and j have in common, `length` at most. Whole matches need no search."""
+        out = np.full(len(i), self.length)
+        rest = np.flatnonzero(~self.equal(i, j, self.length))
+        i, j = i[rest], j[rest]
+        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), self.length - 1)
         pi, pj, di, dj = self.prefix[i], self.prefix[j], self.down[i], self.down[j]
-        for _ in range(math.ceil(math.log2(self.length + 1))):
+        for _ in range(math.ceil(math.log2(self.length))):
             mid = (lo + hi + 1) >> 1
             same = (self.prefix[i + mid] - pi) * di == (self.prefix[j + mid] - pj) * dj
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
+        out[rest] = lo
+        return out
 
     def before(self, i: np.ndarray, j: np.ndarray, ties: bool) -> np.ndarray:
         """Is suffix i before suffix j? `ties`: the answer for equal ones."""
@@ -437,7 +445,7 @@ def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndar
     same = np.zeros(len(own), bool)
     if len(own) > 1:
         near = np.flatnonzero(group[1:] == group[:-1])
-        same[near + 1] = suffixes.common(sorted_at[near + 1], sorted_at[near]) == length
+        same[near + 1] = suffixes.equal(sorted_at[near + 1], sorted_at[near], length)
     # Collisions are told by the bytes themselves, against the neighbour, which takes in the whole class.
     check = np.flatnonzero(same)
     for c in range(0, len(check), 50_000):
@@ -482,7 +490,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         keep = np.flatnonzero(head == np.arange(len(head)))
         values, counts = np.unique(key[keep], return_counts=True)
         keep = keep[np.isin(key[keep], values[counts > 1])]
-        # Whole keys at a time, about 400,000 suffixes.
+        # Whole keys at a time, about 50,000 suffixes, which stay in cache.
         keep = keep[np.argsort(key[keep], kind="stable")]
         if not len(keep):
             return
@@ -490,7 +498,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         ends = np.flatnonzero(np.r_[key[keep][1:] != key[keep][:-1], True]) + 1
         begin = 0
         for end in ends:
-            if total[end - 1] - (total[begin - 1] if begin else 0) >= 400_000 or end == len(keep):
+            if total[end - 1] - (total[begin - 1] if begin else 0) >= 50_000 or end == len(keep):
                 i = keep[begin:end]
                 d, s = repeated_starts(key[i], doc[i], lo[i], n[i], top[i], data.take(pa.array(i)).to_pylist(), length)
                 if len(d):
@@ -564,3 +572,19 @@ def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, t
         *([F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if texts else []),
     )
     return result
+
+
+#: The same over every window of every text, as hexadecimal digits, in DuckDB SQL.
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM r),
+n AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+c AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM n GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM c),
+t AS (SELECT k.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept
+      FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY k.doc_id)
+SELECT d.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN t ON d.doc_id = t.doc_id
+"""
