@@ -327,7 +327,7 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
             lo, n = p - top, (top - low + 1).astype(np.int32)
             return key, np.full(len(p), doc_id), lo, n, top.astype(np.int32), [text[s : s + w] for s, w in zip(lo.tolist(), (n + (length - 1)).tolist())]
 
-        rows, held, bucket, marks, without, own = [], 0, None, [], set(), None
+        rows, held, bucket, marks, without, own, owners = [], 0, None, [], set(), None, None
         for batch in batches:
             for b, kind, doc_id, n, data in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "n", "data"))):
                 kind, doc_id = kind.as_py(), doc_id.as_py()
@@ -341,7 +341,8 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
                     if own is None:
                         own = np.concatenate(marks)
                         own = own[np.argsort(own["d"], kind="stable")]
-                    lo, hi = np.searchsorted(own["d"], doc_id), np.searchsorted(own["d"], doc_id, side="right")
+                        owners = np.ascontiguousarray(own["d"])
+                    lo, hi = np.searchsorted(owners, doc_id), np.searchsorted(owners, doc_id, side="right")
                     if hi > lo:
                         rows.append(cut(doc_id, text_of(data, n), own[lo:hi]))
                         held += len(rows[-1][5])
