@@ -17,6 +17,8 @@ from lanemesh.llm.queries import tokenizer_path, tokenizer_pattern
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document whose words belong to its language by less than this share is rejected.
 LEAST_SHARE = 0.3
+#: Near copies share this percentage of their shingles of so many words; op8's contract is narrower.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
-    found = jaccard.joined(docs).where("doc_id = component_id").select(F.col("doc_id").alias("found_id")).distinct()
+    found = jaccard.joined(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id = component_id").select(F.col("doc_id").alias("found_id")).distinct()
     kept = _documents(docs).join(found, F.col("doc_id") == F.col("found_id"), "left_semi")
     return kept.select(*COLUMNS)
 

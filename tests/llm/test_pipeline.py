@@ -48,6 +48,21 @@ def test_near_copies(stages):
     assert {r.doc_id for r in after} == {i for i, (_, c) in want.items() if c == i}
 
 
+def test_near_copies_by_five_words(stages):
+    _, before, after, _ = stages[2]
+    want = jaccard_brute([(r.doc_id, r.text) for r in before], percent=80, n=5)
+    assert {r.doc_id for r in after} == {i for i, (_, c) in want.items() if c == i}
+
+
+def test_near_copies_missed_by_three_words(spark):
+    """With one of 50 words changed, 0.80 of the shingles of five words are common and 0.88 of those of three; with two, too few of either."""
+    words = [f"w{k}" for k in range(50)]
+    once, twice = [*words[:25], "x", *words[26:]], [*words[:15], "y", *words[16:35], "z", *words[36:]]
+    docs = [(i, " ".join(w), "en", "s", 1) for i, w in ((1, words), (2, once), (3, twice))]
+    got = cp.join_near_copies(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), SF)
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
 def test_mix(stages):
     _, before, after, _ = stages[3]
     want = {i: taken // size for i, size, _, _, taken in mixing_brute([(r.doc_id, r.text, r.source) for r in before]) if taken}
