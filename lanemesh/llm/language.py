@@ -9,7 +9,8 @@ languages; a document's language is the one with the most expected words, its sc
 
 Training sees a sample of about `sample` documents a language (of the `most_labels` most frequent
 ones) with `most_words` words at most, which bounds it whatever the input; it is fixed by hashes of
-document ids. Predictions read whole texts and nothing but the text. Long texts are cut into blocks
+document ids. Languages share the words evenly, and a language's texts its share, so only the longest
+texts are cut, and only for training. Predictions read whole texts and nothing but the text. Long texts are cut into blocks
 whose transfer matrices are chained, which is exact.
 
 Defined cases: a null text and one without a letter give `und` with score 0, as does a table with
@@ -304,6 +305,32 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
     return [(w.data[a:b].tobytes().decode("utf-8", "replace"), model.labels[int(x.argmax())]) for a, b, x in zip(w.start, w.end, p)]
 
 
+def level(sizes: list[int], most: int) -> int:
+    """The largest cap at which `sizes`, each cut to it, come to `most` at most."""
+    left, cap = most, max(sizes, default=0)
+    for n, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - n) > left:
+            return left // (len(sizes) - n)
+        left -= size
+    return cap
+
+
+def shared(found: list[tuple[int, str, str]], most_words: int) -> list[tuple[int, str, str]]:
+    """(h, lang, text) with `most_words` words at most: what languages with few words leave goes to the others, and so among a language's texts."""
+    words: dict[str, list[int]] = {}
+    for _, lang, text in found:
+        words.setdefault(lang, []).append(len(text.split()))
+    share = level([sum(x) for x in words.values()], most_words)
+    caps = {lang: level(x[:share], share) for lang, x in words.items()}
+    out, taken = [], dict.fromkeys(words, 0)
+    for h, lang, text in found:
+        n = words[lang][taken[lang]]
+        taken[lang] += 1
+        if taken[lang] <= share:
+            out.append((h, lang, text if n <= caps[lang] else " ".join(text.split()[: caps[lang]])))
+    return out
+
+
 def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_words: int = 300_000) -> Model:
     """A model from a bounded sample of `docs`' labelled rows that are not held out."""
     rows = docs.where(learnable()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)).alias("h"))
@@ -316,8 +343,7 @@ def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_word
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted({(h, lang, text) for batch in batches for h, lang, text in zip(*(batch.column(c).to_pylist() for c in ("h", "lang", "text")))})
-        words = np.cumsum([len(text.split()) for _, _, text in found])
-        found = found[: max(1, int(np.searchsorted(words, most_words, side="right")))] if found else []
+        found = shared(found, most_words)
         model = train([text for _, _, text in found], [lang for _, lang, _ in found])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 

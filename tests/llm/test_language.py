@@ -53,3 +53,25 @@ def test_blocks_equal_plain_forward_backward(monkeypatch):
             assert np.allclose(got[at : at + n], p[0])
             assert np.allclose(sums[k], p[0].sum(0))
         at += n
+
+
+def skewed():
+    """A frequent language of long texts, a rare one, and one of texts that are each over all words allowed."""
+    rows = [(i, "the quick brown fox and this thing " * 60, "en") for i in range(2000)]
+    rows += [(5000 + i, "der schnelle braune fuchs und dieses ding", "de") for i in range(12)]
+    return rows + [(6000 + i, "le renard brun et cette chose " * 60_000, "fr") for i in (3, 4, 5)]
+
+
+@pytest.mark.parametrize("most", [3000, 300_000])
+def test_rare_languages_are_learned(spark, most):
+    docs = spark.createDataFrame(skewed(), "doc_id long, text string, lang string")
+    model = language.learned(docs, most_words=most)
+    assert model.labels == ["de", "en", "fr"]
+    assert language.predict(model, ["dieses ding", "this thing", "cette chose"])[0] == ["de", "en", "fr"]
+
+
+def test_words_are_shared_by_languages_and_texts():
+    found = [(0, "a", "x " * 1000), (1, "b", "y z"), (2, "a", "x " * 3), (3, "c", "z " * 50), (4, "a", "x " * 70), (5, "c", "z " * 10)]
+    counts = lambda most: [(lang, len(text.split())) for _, lang, text in language.shared(found, most)]
+    assert counts(120) == [("a", 28), ("b", 2), ("a", 3), ("c", 49), ("a", 28), ("c", 10)]
+    assert language.shared(found, 10_000) == found and language.shared([], 10) == []
