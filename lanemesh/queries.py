@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .constants import COUNTIES_BY_REGION, EARTH_KM, MILES_PER_KM
+from .constants import COUNTIES, EARTH_KM, MILES_PER_KM
 from .functions import geodesy as geo
 from .functions import scalars as s
 from .operators import chains, grouping, numbering, offsets, overlaps, partition
@@ -251,7 +251,7 @@ def county_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", s.county_name(F.col("n_name")).alias("county"), F.col("r_name").alias("region"))
 
 
-_COUNTY = "[" + ", ".join(f"'{n}'" for n in sorted((x for v in COUNTIES_BY_REGION.values() for x in v.split()), key=lambda n: n.replace("st_", "saint_"))) + "]"
+_COUNTY = "[" + ", ".join(f"'{name}'" for name, _, _ in COUNTIES) + "]"
 
 
 @query(f"SELECT c_custkey, {_COUNTY}[c_custkey % 62 + 1] AS county, (36001 + 2 * (c_custkey % 62))::VARCHAR AS county_code FROM customer")
@@ -461,9 +461,9 @@ def source_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EVENTS = "SELECT user_id AS grp, event_id::VARCHAR AS edge_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events"
 
 
-@query(f"SELECT grp, edge_id, (n - 1)::INTEGER AS idx FROM ({_EVENTS}) WHERE n > 0 AND grp % 10 = 0")
+@query(f"SELECT grp, edge_id, (n - 1)::INTEGER AS idx FROM ({_EVENTS}) WHERE n > 0")
 def chains_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simple paths of all groups by recursive SQL; each step is a join. Its SQL still has a tenth of the groups."""
+    """Simple paths of all groups by recursive SQL; each step is a join."""
     fx.event_edges(spark, sf_dir).createOrReplaceTempView("chain_edges")
     return spark.sql(chains.simple_chains_sql("chain_edges"))
 

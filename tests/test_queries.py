@@ -34,9 +34,3 @@ def test_query_equals_sql(spark, duck, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert rows(got, columns) == rows(want, columns)
-
-
-def test_recursive_chains_of_all_groups(spark, duck):
-    got = QUERIES["chains_recursive"](spark, SF).toPandas()
-    want = duck.sql(ORACLES["chains_sorted"]).df()
-    assert rows(got, ["grp", "edge_id", "idx"]) == rows(want, ["grp", "edge_id", "idx"])
