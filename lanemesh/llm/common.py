@@ -1,9 +1,10 @@
-"""What the operators of this subpackage share: reading tables, cutting lineage, word patterns."""
+"""What the operators of this subpackage share: reading tables, cutting lineage, word patterns, joins with hot keys."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: A word, as all operators here count them: a run of bytes that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with more than one in so many rows is hot. There are fewer such keys than this, whatever the input.
+HOT_SHARE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,24 +22,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a fixed local one only where the cluster names none."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/lanemesh").rstrip("/")
+    """The folder that driver and executors share. Only one machine alone may do without a named one."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return "file:///tmp/checkpoints/lanemesh"
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    at, files = _file_system(spark, path)
+    files.deleteOnExit(at)
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
-    Cuts lineage like a checkpoint, survives lost executors, and gives later joins real sizes.
+    Cuts lineage like a checkpoint, survives lost executors, and gives later joins real sizes. The
+    table goes when `dropped` is called or the driver ends.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    removed_at_exit(df.sparkSession, path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete what `materialized` wrote; nothing that is still to be computed may read it."""
+    for df in frames:
+        at, files = _file_system(df.sparkSession, df.scratch)
+        files.delete(at, True)
 
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def spread_join(big: DataFrame, small: DataFrame, on: dict[str, str], value: str, copies: str, rows: int, spread: Column) -> DataFrame:
+    """`big` with `value` of the row of `small` that has its key, null without one.
+
+    small: a row a key, and in `copies` how many rows of `big` have it. `rows`: how many `big` has,
+    about. The rows of hot keys (fewer than HOT_SHARE keys, so these are broadcast) are matched first
+    and then dealt by `spread` instead of their key, so no key puts its rows into one task.
+    """
+    is_hot = F.col(copies) * HOT_SHARE > F.lit(rows)
+    both = lambda prefix: reduce(Column.__and__, (F.col(b) == F.col(f"{prefix}{s}") for b, s in on.items()))
+    side = lambda prefix: [F.col(s).alias(f"{prefix}{s}") for s in on.values()] + [F.col(value).alias(f"{prefix}value")]
+    hot = small.where(is_hot).select(*side("hot__"))
+    # Zero, but not a constant, which would be taken out of the join's keys.
+    zero = F.pmod(F.xxhash64(f"cold__{next(iter(on.values()))}"), F.lit(1)).alias("cold__salt")
+    cold = small.where(~is_hot).select(*side("cold__")).select("*", zero)
+    out = big.join(F.broadcast(hot), both("hot__"), "left")
+    out = out.withColumn("hot__salt", F.when(F.col("hot__value").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(1 << 30)) + 1).otherwise(0))
+    out = out.join(cold, both("cold__") & (F.col("hot__salt") == F.col("cold__salt")), "left")
+    return out.select(*(F.col(f"`{c}`") for c in big.columns), F.coalesce("hot__value", "cold__value").alias(value))
+
+
 def grouped(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Whole groups of a stream that is sorted by `keys`, a frame a group; holds one group and one batch."""
     held: list[pd.DataFrame] = []
