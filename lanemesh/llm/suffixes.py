@@ -11,14 +11,17 @@ equal anchors at equal places, and consecutive windows mostly share one. That gi
    block are combined first. Anchors in very frequent cells are split by the bytes around them.
 3. Sort the windows' suffixes of each anchor by mergesort. Two suffixes are compared by binary search
    for their common extension over prefix polynomial hashes. Neighbours that agree on all bytes are a
-   class, whose bytes are compared as well; all but its first member are removed.
+   class, whose bytes are compared as well; all but its first member are removed. Where bytes
+   differ, the anchor's suffixes are sorted by their bytes instead.
 
 Documents that are copies of an earlier one are recognised by length and SHA-256 and aren't sorted.
 
-Defined cases: a null text counts as empty; shorter texts than `length` lose nothing; texts of any
-length are handled whole, in overlapping segments; rows that repeat a doc_id and text are one document
-with one row; a null doc_id comes before all others; an empty table gives an empty one; other
-columns are ignored.
+Defined cases: there is a row for each input row; a null text counts as empty; shorter texts than
+`length` lose nothing; texts of any length are handled whole, in overlapping segments; rows that repeat
+a doc_id and text are one document and come out alike; different texts of one doc_id follow each other
+by their SHA-256, as if parts of one document that no window crosses; a row with a null doc_id counts as
+one of the negative id -1 - x, with x the first 15 hexadecimal digits of its text's SHA-256, and keeps
+its null; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,16 +34,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialized, text_or_empty
+from .common import dropped, materialized, spread_join, text_or_empty
 
 K = 36
 #: Text handled at a time by a task of step 1; bytes hashed at a time; text bytes a task of steps 1 and 3.
 BLOCK, SEGMENT, SHARE = 24 << 20, 1 << 16, 24 << 20
 #: Cells that anchors are counted in, rows above which a cell is split by content, and windows a part.
 CELLS, HOT_ROWS, STEP = 1 << 22, 100_000, 4
-NULL_ID = -(1 << 63)
+#: Positions of the k-th text of a doc_id begin at k << SLOT; a text has less than 2 ** 31 bytes.
+SLOT = 32
 
 _random = np.random.default_rng(77)
 TABLE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,7 +117,7 @@ def segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, b
         yield group
 
 
-def anchors(texts: list[bytes], ids: np.ndarray, length: int) -> np.ndarray:
+def anchors(texts: list[bytes], ids: np.ndarray, slots: np.ndarray, length: int) -> np.ndarray:
     """All anchors of `texts`: hash, place, document, and its windows' starts p - a to p - b."""
     found = []
     for group in segments(texts, length):
@@ -129,7 +134,9 @@ def anchors(texts: list[bytes], ids: np.ndarray, length: int) -> np.ndarray:
         out = np.empty(len(lo), SINGLE)
         out["h"], out["a"], out["b"] = h[place], place - lo, place - hi
         out["p"] = place - begin[seg] + np.array([g[1] for g in group])[seg]
-        out["d"] = ids[np.array([g[0] for g in group])[seg]]
+        doc = np.array([g[0] for g in group])[seg]
+        out["p"] += slots[doc]
+        out["d"] = ids[doc]
         found.append(out)
     return np.concatenate(found) if found else np.empty(0, SINGLE)
 
@@ -154,41 +161,42 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [x.as_py() or b"" for x in column.cast(pa.binary())]
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
+    return (x["d"] % buckets + (x["p"] >> SLOT) % buckets) % buckets
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Documents, BLOCK bytes at a time."""
-    ids, texts, held = [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, slots and texts of documents, BLOCK bytes at a time."""
+    ids, slots, texts, held = [], [], [], 0
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             more = _utf8(part.column("text"))
-            ids.append(_ids(part.column("doc_id")))
+            ids.append(part.column("doc_id").to_numpy())
+            slots.append(part.column("slot").to_numpy())
             texts += more
             held += sum(map(len, more))
             if held >= BLOCK:
-                yield np.concatenate(ids), texts
-                ids, texts, held = [], [], 0
+                yield np.concatenate(ids), np.concatenate(slots), texts
+                ids, slots, texts, held = [], [], [], 0
     if texts:
-        yield np.concatenate(ids), texts
+        yield np.concatenate(ids), np.concatenate(slots), texts
 
 
 def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """bucket (doc_id modulo buckets), n, data (n packed SINGLE rows): anchors whose hash occurs twice or more anywhere."""
+    """bucket (of the document), n, data (n packed SINGLE rows): anchors whose hash occurs twice or more anywhere."""
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _blocks(batches):
-            all_ = anchors(texts, ids, length)
+        for ids, slots, texts in _blocks(batches):
+            all_ = anchors(texts, ids, slots, length)
             all_ = all_[np.argsort(all_["h"], kind="stable")]
             new = np.r_[True, all_["h"][1:] != all_["h"][:-1]] if len(all_) else np.empty(0, bool)
             alone = new & np.r_[new[1:], True][: len(new)]
             rows = []
             # Kind 0: asks whether it is shared. 1: shared here, tells the others. 2: shared here, passes on.
             for kind, x in ((0, all_[alone]), (1, all_[new & ~alone]), (2, all_[~alone])):
-                to = (x["h"] % np.uint64(buckets)).astype(np.int64) if kind < 2 else (x["d"] % buckets)
+                to = (x["h"] % np.uint64(buckets)).astype(np.int64) if kind < 2 else _bucket(x, buckets)
                 order = np.lexsort((x["p"], x["d"], to))
                 x, to = x[order], to[order]
                 cut = np.searchsorted(to, np.arange(buckets + 1))
@@ -230,7 +238,7 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             yield from by_document(np.concatenate(ready))
 
     def by_document(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        to = x["d"] % buckets
+        to = _bucket(x, buckets)
         order = np.lexsort((x["p"], x["d"], to))
         x, to = x[order], to[order]
         cut = np.searchsorted(to, np.arange(buckets + 1))
@@ -270,14 +278,14 @@ SNIPPET_SCHEMA = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("lo", pa.
 
 
 def compressed(rows: DataFrame) -> DataFrame:
-    """doc_id, n (bytes of the text), data: texts as they are shuffled."""
+    """doc_id, slot, n (bytes of the text), data: texts as they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _utf8(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()), pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in texts], pa.binary())], names=["doc_id", "n", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("slot"), pa.array(list(map(len, texts)), pa.int64()), pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in texts], pa.binary())], names=["doc_id", "slot", "n", "data"])
 
-    return rows.mapInArrow(run, "doc_id long, n long, data binary")
+    return rows.select("doc_id", "slot", "text").mapInArrow(run, "doc_id long, slot long, n long, data binary")
 
 
 def text_of(data: pa.Scalar, n: pa.Scalar) -> bytes:
@@ -313,8 +321,8 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
             use = pa.array(keep | known)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep | known]) for x in (key, doc, lo, n, top)] + [pc.if_else(pa.array(keep), data, pa.scalar(None, pa.binary())).filter(use)], schema=SNIPPET_SCHEMA)
 
-        def cut(doc_id: int, text: bytes, x: np.ndarray) -> tuple:
-            key, top, low, p = x["h"].view(np.int64), x["a"].astype(np.int64), x["b"].astype(np.int64), x["p"]
+        def cut(doc_id: int, slot: int, text: bytes, x: np.ndarray) -> tuple:
+            key, top, low, p = x["h"].view(np.int64), x["a"].astype(np.int64), x["b"].astype(np.int64), x["p"] - slot
             split = is_hot[(x["h"] % np.uint64(CELLS)).astype(np.int64)] if any_hot else np.zeros(len(x), bool)
             if split.any():
                 parts = [(key[~split], top[~split], low[~split], p[~split])]
@@ -325,26 +333,27 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
                     parts.append((np.frombuffer(b"".join(core), np.int64) + q, a[on], b[on], p[on]))
                 key, top, low, p = (np.concatenate(c) for c in zip(*parts))
             lo, n = p - top, (top - low + 1).astype(np.int32)
-            return key, np.full(len(p), doc_id), lo, n, top.astype(np.int32), [text[s : s + w] for s, w in zip(lo.tolist(), (n + (length - 1)).tolist())]
+            return key, np.full(len(p), doc_id), lo + slot, n, top.astype(np.int32), [text[s : s + w] for s, w in zip(lo.tolist(), (n + (length - 1)).tolist())]
 
-        rows, held, bucket, marks, without, own, owners = [], 0, None, [], set(), None, None
+        rows, held, bucket, marks, without, own, owners, places = [], 0, None, [], set(), None, None, None
         for batch in batches:
-            for b, kind, doc_id, n, data in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "n", "data"))):
-                kind, doc_id = kind.as_py(), doc_id.as_py()
+            for b, kind, doc_id, slot, n, data in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "slot", "n", "data"))):
+                kind, doc_id, slot = kind.as_py(), doc_id.as_py(), slot.as_py()
                 if b.as_py() != bucket:
                     bucket, marks, without, own = b.as_py(), [], set(), None
                 if kind == 0:
                     marks.append(_unpacked(data.as_py(), n.as_py(), SINGLE))
                 elif kind == 1:
-                    without.add(doc_id)
-                elif doc_id not in without and marks:
+                    without.add((doc_id, slot))
+                elif (doc_id, slot) not in without and marks:
                     if own is None:
                         own = np.concatenate(marks)
-                        own = own[np.argsort(own["d"], kind="stable")]
-                        owners = np.ascontiguousarray(own["d"])
+                        own = own[np.lexsort((own["p"], own["d"]))]
+                        owners, places = np.ascontiguousarray(own["d"]), np.ascontiguousarray(own["p"])
                     lo, hi = np.searchsorted(owners, doc_id), np.searchsorted(owners, doc_id, side="right")
+                    lo, hi = lo + np.searchsorted(places[lo:hi], [slot, slot + (1 << SLOT)])
                     if hi > lo:
-                        rows.append(cut(doc_id, text_of(data, n), own[lo:hi]))
+                        rows.append(cut(doc_id, slot, text_of(data, n), own[lo:hi]))
                         held += len(rows[-1][5])
                 if held > 150_000:
                     yield from flush(rows)
@@ -352,7 +361,10 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
         if rows:
             yield from flush(rows)
 
-    row = lambda df, kind: df.select(F.pmod("doc_id", F.lit(buckets)).cast("int").alias("bucket") if "doc_id" in df.columns else "bucket", F.lit(kind).alias("kind"), F.col("doc_id") if "doc_id" in df.columns else F.lit(None).cast("long").alias("doc_id"), F.col("n") if "n" in df.columns else F.lit(0).cast("long").alias("n"), F.col("data") if "data" in df.columns else F.lit(None).cast("binary").alias("data"))
+    mod = lambda c: F.pmod(c, F.lit(buckets))
+    to = mod(mod(F.col("doc_id")) + mod(F.shiftright("slot", SLOT))).cast("int").alias("bucket")
+    none = F.lit(None).cast("long")
+    row = lambda df, kind: df.select(to if "doc_id" in df.columns else "bucket", F.lit(kind).alias("kind"), F.col("doc_id") if "doc_id" in df.columns else none.alias("doc_id"), F.col("slot") if "slot" in df.columns else none.alias("slot"), F.col("n") if "n" in df.columns else F.lit(0).cast("long").alias("n"), F.col("data") if "data" in df.columns else F.lit(None).cast("binary").alias("data"))
     dealt = row(shared, 0).unionByName(row(copies, 1)).unionByName(row(texts, 2))
     return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, SNIPPETS)
 
@@ -453,6 +465,12 @@ def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, n: np.ndar
         i = check[c : c + 50_000]
         span = np.arange(length)
         same[i] = (text[sorted_at[i][:, None] + span] == text[sorted_at[i - 1][:, None] + span]).all(1)
+    for g in np.unique(group[check[~same[check]]]):
+        at_g = np.flatnonzero(group == g)
+        windows = [text[a : a + length].tobytes() for a in sorted_at[at_g]]
+        by_bytes = np.array(sorted(range(len(at_g)), key=windows.__getitem__))
+        sorted_at[at_g], own[at_g] = sorted_at[at_g][by_bytes], own[at_g][by_bytes]
+        same[at_g] = [k > 0 and windows[by_bytes[k]] == windows[by_bytes[k - 1]] for k in range(len(at_g))]
     rank = np.empty(len(own), np.int64)
     rank[np.lexsort((start, doc[row]))] = np.arange(len(own))
     heads = np.flatnonzero(~same)
@@ -529,44 +547,55 @@ def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left, with `texts`; null where nothing went)."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_or_empty().alias("text"))
-    status = materialized(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")
+    made_up = -1 - F.conv(F.substring(F.sha2(text_or_empty(), 256), 1, 15), 16, 10).cast("long")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), made_up).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), text_or_empty().alias("text"))
+    described = materialized(rows.select("doc_id", "no_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")
+    several = described.groupBy("doc_id").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a <> b").select(F.col("doc_id").alias("s_doc"))
+    slots = described.join(several, F.col("doc_id") == F.col("s_doc")).select("s_doc", F.col("sha").alias("s_sha")).distinct()
+    slots = materialized(slots.withColumn("s_slot", F.shiftleft((F.row_number().over(W.partitionBy("s_doc").orderBy("s_sha")) - 1).cast("long"), SLOT)).where("s_slot > 0"), "suffix-slots")
+    if slots.isEmpty():  # hardly any table has two texts of one id, and then no join has to carry texts
+        rows, status = (df.withColumn("slot", F.lit(0).cast("long")) for df in (rows, described))
+    else:
+        own = lambda df, sha: df.join(slots, (F.col("doc_id") == F.col("s_doc")) & (sha == F.col("s_sha")), "left").select(*df.columns, F.coalesce("s_slot", F.lit(0)).alias("slot"))
+        rows, status = own(rows, F.sha2("text", 256)), own(described, F.col("sha"))
     total = status.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARE))
     buckets = max(1, math.ceil(total / SHARE))
 
-    salts = 8
-    first = status.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    first = first.select(F.col("sha").alias("f_sha"), F.col("n_bytes").alias("f_n"), "first", F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
-    on = (F.col("sha") == F.col("f_sha")) & (F.col("n_bytes") == F.col("f_n")) & (F.pmod(F.xxhash64("doc_id"), F.lit(salts)) == F.col("salt"))
-    status = materialized(status.join(first, on, "left").select("doc_id", "n_bytes", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")).distinct(), "suffix-status")
+    first = status.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("copies")).where("first <> last")
+    first = first.select(F.col("sha").alias("f_sha"), F.col("n_bytes").alias("f_n"), "first", "copies")
+    status = spread_join(status, first, {"sha": "f_sha", "n_bytes": "f_n"}, "first", "copies", described.count(), F.col("doc_id"))
+    status = materialized(status.select("doc_id", "no_id", "slot", "n_bytes", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")), "suffix-status")
+    dropped(described)
 
     shared = materialized(shared_anchors(rows, length, buckets), "suffix-anchors")
     texts_ = compressed(rows.where(F.octet_length("text") >= length))
-    found = snippets(texts_, shared, status.where("copy").select("doc_id"), length, hot_cells(shared, hot_rows), buckets)
+    found = snippets(texts_, shared, status.where("copy").select("doc_id", "slot"), length, hot_cells(shared, hot_rows), buckets)
     runs = materialized(repeats(found, length, parts), "suffix-runs")
-    cuts = runs.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    dropped(shared)
+    begin = F.shiftleft(F.shiftright("lo", SLOT), SLOT)
+    cuts = runs.groupBy("doc_id", begin.alias("slot")).agg(F.collect_list(F.struct((F.col("lo") - begin).alias("lo"), (F.col("hi") - begin).alias("hi"))).alias("runs"))
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("own_sha", pa.string()), *([("kept", pa.binary())] if texts else [])])
+    schema = pa.schema([("doc_id", pa.int64()), ("slot", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("own_sha", pa.string()), *([("kept", pa.binary())] if texts else [])])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, n, data, own in zip(*(batch.column(c) for c in ("doc_id", "n", "data", "runs"))):
+            for doc_id, slot, n, data, own in zip(*(batch.column(c) for c in ("doc_id", "slot", "n", "data", "runs"))):
                 text, at, kept = text_of(data, n), 0, []
                 gone = merged([(r["lo"], r["hi"]) for r in own.as_py()], length)
                 for a, b in gone:
                     kept.append(text[at:a])
                     at = b
                 left = b"".join([*kept, text[at:]])
-                out.append((doc_id.as_py(), len(text) - len(left), len(gone), hashlib.sha256(left).hexdigest(), *([left] if texts else [])))
+                out.append((doc_id.as_py(), slot.as_py(), len(text) - len(left), len(gone), hashlib.sha256(left).hexdigest(), *([left] if texts else [])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-    changed = texts_.join(cuts, "doc_id").mapInArrow(cut, "doc_id long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id"])
+    changed = texts_.join(cuts, ["doc_id", "slot"]).mapInArrow(cut, "doc_id long, slot long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id", "slot"])
     whole = F.col("copy") & (F.col("n_bytes") >= length)
-    result = status.join(changed, "doc_id", "left").select(
-        F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "n_bytes",
+    result = status.join(changed, ["doc_id", "slot"], "left").select(
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("own_sha", "sha")).alias("kept_sha256"),

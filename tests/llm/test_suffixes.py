@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -10,9 +11,10 @@ DDL = "doc_id long, text string, source string"
 
 def brute(docs, length):
     """Straight from the definition, over every window of every text."""
-    texts = sorted({(i, (t or "").encode()) for i, t, *_ in docs}, key=lambda x: (x[0] is not None, x))
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    place = lambda i, b: (-1 - int(sha(b)[:15], 16) if i is None else i, sha(b))
     seen, out = set(), {}
-    for doc, text in texts:
+    for doc, text in sorted({(i, (t or "").encode()) for i, t, *_ in docs}, key=lambda x: place(*x)):
         gone = bytearray(len(text))
         for s in range(len(text) - length + 1):
             window = text[s : s + length]
@@ -21,12 +23,13 @@ def brute(docs, length):
             seen.add(window)
         kept = bytes(b for b, g in zip(text, gone) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out[doc] = (len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest())
-    return out
+        out[doc, text] = (doc, len(text), sum(gone), spans, sha(kept))
+    return Counter(map(repr, (out[i, (t or "").encode()] for i, t, *_ in docs)))
 
 
 def found(df):
-    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()}
+    """How often each row comes out; a row for each input row."""
+    return Counter(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in df.collect())
 
 
 def corpus(rng, n):
@@ -61,6 +64,34 @@ def test_splitting_frequent_anchors_changes_nothing(spark):
     assert found(suffixes.deduplicated(df, hot_rows=3)) == brute(docs, 100)
 
 
+def test_shared_and_null_ids(spark):
+    """Texts of one id, or of none, are told apart; copies of them too."""
+    rng = random.Random(8)
+    a, b, c, d = ("".join(rng.choice("abcdefgh ") for _ in range(259)) for _ in range(4))
+    docs = [(None, a + a), (None, c + d), (None, a), (None, a), (None, ""), (None, None), (1, b + b), (1, c + "x" + d), (1, b), (1, b), (2, d + a), (2, d), (3, d), (-4, c), (-4, c + c)]
+    df = spark.createDataFrame([(*x, None) for x in docs], DDL).repartition(3)
+    assert found(suffixes.deduplicated(df)) == brute(docs, 100)
+
+
+def test_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "SEGMENT", 4096)
+    rng = random.Random(9)
+    long_ = "".join(rng.choice("abcdefgh ") for _ in range(120_000))
+    docs = [(1, long_, None), (2, "x" + long_[50_000:90_000] + "y" + long_[:300], None), (3, long_ + long_[:5000], None)]
+    assert found(suffixes.deduplicated(spark.createDataFrame(docs, DDL))) == brute(docs, 100)
+
+
+def test_collisions_hide_nothing(monkeypatch):
+    """Hashes that leave out a window's last byte make A B A' one class, in which the bytes decide."""
+    plain = suffixes.Suffixes.equal
+    monkeypatch.setattr(suffixes.Suffixes, "equal", lambda self, i, j, n: plain(self, i, j, np.where(np.asarray(n) == self.length, self.length - 1, n)))
+    length, body = 40, b"0123456789" * 3 + b"abcdefghi"
+    data = [body + x for x in (b"A", b"B", b"A", b"C", b"B")]
+    one = np.ones(5, np.int64)
+    d, s = suffixes.repeated_starts(one, np.arange(5), np.zeros(5, np.int64), one, one * 3, data, length)
+    assert sorted(d.tolist()) == [2, 4] and not s.any()
+
+
 def test_empty_table(spark):
     assert suffixes.deduplicated(spark.createDataFrame([], DDL)).count() == 0
 
