@@ -2,16 +2,18 @@
 
 Writing: every page becomes a request, a response (or a revisit of an equal payload captured under a
 smaller id) and a metadata record, as WARC/1.1 text in gzipped archive files. Reading: archives are
-read as binary files, cut by Content-Length, and the records of a transaction are joined through
+read as binary files of bounded size, cut by Content-Length, and the records of a transaction are joined through
 WARC-Concurrent-To into one nested row per capture.
 
 Payload digests are bare upper-case base32 SHA-1 over the full payload. A revisit record has no
 payload of its own; its HTTP header keeps the full payload's length.
 
 Defined cases: a null html is an empty payload; a null or odd url is written percent-encoded where
-control characters would break a header; repeated rows of one page id are one capture; rows with a
-null id are left out; payloads may contain anything, also what looks like a record; an empty table
-gives no archives and an empty result; other columns are ignored.
+control characters would break a header; repeated rows of one page id are one capture; a row with a
+null id is a capture named by the digest of its url and html, a revisit if a page with an id has the
+same payload and a response if none has; payloads may contain anything, also what looks like a record,
+and be of any length, an archive ending with the record that takes it past ARCHIVE_BYTES; an empty
+table gives no archives and an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import removed_at_exit, shared_dir, spread_join
 
-#: Transactions in an archive file at most, so that an archive fits in a task's memory.
-PER_ARCHIVE = 1000
+#: Bytes after which an archive file ends, so that it fits in a task's memory; and of records that a reader hands on at once.
+ARCHIVE_BYTES, BATCH_BYTES = 32 << 20, 8 << 20
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -50,53 +52,63 @@ def header_safe(text: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", text or "")
 
 
-def transaction(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def transaction(name: str, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """The three records of one capture."""
     uri = header_safe(url)
-    ident = f"<urn:capture:{page_id}>"
+    ident = f"<urn:capture:{name}>"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     common = {"WARC_Target_URI": uri, "WARC_Payload_Digest": f"sha1:{digest}", "Content_Type": "application/http; msgtype=response"}
     if refers_to is None:
         main = record("response", ident, http + payload, **common)
     else:
         main = record("revisit", ident, http, WARC_Refers_To=f"<urn:capture:{refers_to}>", WARC_Profile=REVISIT, **common)
-    request = record("request", f"<urn:request:{page_id}>", f"GET {uri} HTTP/1.1\r\n\r\n".encode("utf-8", "surrogatepass"), WARC_Concurrent_To=ident, WARC_Target_URI=uri, Content_Type="application/http; msgtype=request")
-    metadata = record("metadata", f"<urn:metadata:{page_id}>", f"via: {uri}\r\n".encode("utf-8", "surrogatepass"), WARC_Concurrent_To=ident, WARC_Target_URI=uri, Content_Type="application/warc-fields")
+    request = record("request", f"<urn:request:{name}>", f"GET {uri} HTTP/1.1\r\n\r\n".encode("utf-8", "surrogatepass"), WARC_Concurrent_To=ident, WARC_Target_URI=uri, Content_Type="application/http; msgtype=request")
+    metadata = record("metadata", f"<urn:metadata:{name}>", f"via: {uri}\r\n".encode("utf-8", "surrogatepass"), WARC_Concurrent_To=ident, WARC_Target_URI=uri, Content_Type="application/warc-fields")
     return request + main + metadata
 
 
 def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, digest, refers_to: equal payloads refer to the smallest page id.
+    """page_id, url, html, refers_to: equal payloads refer to the smallest page id.
 
-    Only digests that occur more than once enter the join, salted against a payload that a large
-    share of all pages has.
+    Only digests that occur more than once enter the join. A payload that a thousandth of all pages
+    have is matched by broadcast, so its pages don't meet in one task.
     """
     hex_sha1 = F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
-    rows = pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", hex_sha1).withColumn("n", F.octet_length("html"))
-    salts = 8
-    first = rows.where(F.col("n") >= least_bytes).groupBy("sha1", "n").agg(F.min("page_id").alias("first"), F.max("page_id").alias("other")).where("first <> other")
-    first = first.select(F.col("sha1").alias("f_sha1"), F.col("n").alias("f_n"), "first", F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
-    on = (F.col("sha1") == F.col("f_sha1")) & (F.col("n") == F.col("f_n")) & (F.pmod(F.xxhash64("page_id"), F.lit(salts)) == F.col("salt"))
-    return rows.join(first, on, "left").select("page_id", "url", "html", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
+    first = rows.where(F.col("n") >= least_bytes).groupBy("sha1", "n").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("first is not null and copies > 1")
+    first = first.select(F.col("sha1").alias("f_sha1"), F.col("n").alias("f_n"), "first", "copies")
+    found = spread_join(rows, first, {"sha1": "f_sha1", "n": "f_n"}, "first", "copies", pages.count(), F.col("url"))
+    return found.select("page_id", "url", "html", F.when(F.col("page_id").isNull() | (F.col("first") < F.col("page_id")), F.col("first")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Gzipped WARC files at `path`, written by Spark's text sink, so to any store that Spark can write.
+    """Gzipped WARC files under `path`, written by Spark's text sink, so to any store that Spark can write.
 
-    The sink ends each row with the two line breaks that end a record.
+    The sink ends each row with the two line breaks that end a record. A task numbers its archives and
+    begins a new one when enough bytes are in the last.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = filled = 0
         for batch in batches:
-            out = []
+            out, numbers, held = [], [], 0
             for page_id, url, html, refers_to in zip(*(batch.column(c) for c in ("page_id", "url", "html", "refers_to"))):
-                payload = html.as_py().encode("utf-8", "surrogatepass")
-                out.append(transaction(page_id.as_py(), url.as_py(), payload, base32_sha1(payload), refers_to.as_py())[:-4].decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-
-    texts = with_references(pages, least_bytes).mapInArrow(run, "value string")
-    texts.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", PER_ARCHIVE).text(path)
+                page_id, url, payload = page_id.as_py(), url.as_py(), html.as_py().encode("utf-8", "surrogatepass")
+                name = str(page_id) if page_id is not None else "none-" + hashlib.sha1(header_safe(url).encode("utf-8", "surrogatepass") + b" " + payload).hexdigest()
+                out.append(transaction(name, url, payload, base32_sha1(payload), refers_to.as_py())[:-4].decode("utf-8", "surrogatepass"))
+                numbers.append(number)
+                filled, held = filled + len(out[-1]), held + len(out[-1])
+                if filled >= ARCHIVE_BYTES:
+                    number, filled = number + 1, 0
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(numbers, pa.int32())], names=["value", "archive"])
+                    out, numbers, held = [], [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(numbers, pa.int32())], names=["value", "archive"])
+
+    texts = with_references(pages, least_bytes).mapInArrow(run, "value string, archive int")
+    texts.write.partitionBy("archive").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
 def records_of(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -125,8 +137,12 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
         names = [f.split()[0] for f in FIELDS.split(", ")] + ["payload"] * payloads
         for batch in batches:
             for archive in batch.column("content"):
-                rows = []
+                rows, held = [], 0
                 for h, block in records_of(archive.as_py()):
+                    held += len(block)
+                    if held > BATCH_BYTES and rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) if c else pa.array([]) for c in map(list, zip(*rows))], names=names).cast(_arrow(payloads))
+                        rows, held = [], len(block)
                     kind, http, payload, n, digest, ok = h["warc-type"], None, None, None, None, None
                     if kind in ("response", "revisit"):
                         head, _, payload = block.partition(b"\r\n\r\n")
@@ -145,7 +161,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c) if c else pa.array([]) for c in map(list, zip(*rows))], names=names).cast(_arrow(payloads))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(path).select("content")
     return files.mapInArrow(run, FIELDS + ", payload binary" * payloads)
 
 
@@ -176,6 +192,7 @@ def page_captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, least_bytes)
+    removed_at_exit(spark, path)
     found = captures(read_archives(spark, path))
     return found.select(
         urn_number(F.col("capture_id")).alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"),
