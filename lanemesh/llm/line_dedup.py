@@ -1,18 +1,20 @@
 """Line dedup over overlapping three-line windows. DataFrame functions only.
 
 Each run of three consecutive lines is hashed (two 64-bit hashes with different seeds). Windows that
-occur more than once anywhere keep their first occurrence, by (doc_id, line); every later one marks
+occur more than once anywhere keep their first occurrence, by (doc_id, mark, line); every later one marks
 its three lines. Marked windows of a document are merged into runs of lines, which are cut out.
 
 Only the hashes and positions are shuffled for the search. First occurrences are found by a
-combinable minimum, and the join back to the positions is salted, so one window in a third of all
-documents is spread over `salts` tasks.
+combinable minimum, and windows that a thousandth of all rows have are joined back to their positions
+by a broadcast of less than a thousand rows, so that no window puts its rows into one task.
 
 Defined cases: lines are what `\n` separates, compared exactly; windows of three blank lines are
 ignored; a document of one or two lines has no window and stays as it is; a null text stays null and
 an empty one empty; rows with a null doc_id stay as they are; rows that repeat a doc_id and text are
-one document and all come out alike; a document that loses all its lines comes out with an empty text
-(`drop_emptied` removes it); further columns are kept, whatever their names.
+one document and all come out alike; different texts of one doc_id are documents of their own, in the
+order of a hash of the text (`mark`); texts of any length are cut whole;
+a document that loses all its lines comes out with an empty text (`drop_emptied` removes it); an empty
+table gives an empty one; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialized
+from .common import dropped, materialized, spread_join
 
 WINDOW = 3
 
 
 def line_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, h1, h2: a row for each window that has a line with a word."""
-    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.split("text", "\n", -1).alias("l")).where(F.size("l") >= WINDOW)
+    """doc_id, mark, pos, h1, h2: a row for each window that has a line with a word."""
+    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), F.split("text", "\n", -1).alias("l")).where(F.size("l") >= WINDOW)
     hashed = lines.select(
-        "doc_id",
+        "doc_id", "mark",
         F.transform("l", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("second"), x).alias("b"), x.rlike(r"[^\x20\x09-\x0D]").alias("word"))).alias("l"),
     )
     at = lambda i, k: F.element_at("l", (i + k).cast("int"))
@@ -43,50 +45,51 @@ def line_windows(docs: DataFrame) -> DataFrame:
             (at(i, 0)["word"] | at(i, 1)["word"] | at(i, 2)["word"]).alias("word"),
         ),
     )
-    return hashed.select("doc_id", F.inline(windows)).where("word").drop("word")
+    return hashed.select("doc_id", "mark", F.inline(windows)).where("word").drop("word")
 
 
-def repeated_runs(docs: DataFrame, salts: int = 8) -> DataFrame:
-    """doc_id, runs: sorted, disjoint structs (a, b) of first and last marked line."""
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, runs (written): sorted, disjoint structs (a, b) of first and last marked line."""
     windows = materialized(line_windows(docs), "line-windows")
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = first.select("h1", "h2", "first", F.explode(F.array(*(F.lit(s) for s in range(salts)))).alias("salt"))
-    marked = (
-        windows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(salts)).cast("int"))
-        .join(first, ["h1", "h2", "salt"])
-        .where(F.struct("doc_id", "pos") > F.col("first"))
-        .select("doc_id", "pos").distinct()
-    )
-    by_pos = W.partitionBy("doc_id").orderBy("pos")
-    return (
+    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "mark", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = first.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first", "n")
+    found = spread_join(windows, first, {"h1": "f1", "h2": "f2"}, "first", "n", windows.count(), F.struct("doc_id", "mark", "pos"))
+    marked = found.where(F.struct("doc_id", "mark", "pos") > F.col("first")).select("doc_id", "mark", "pos").distinct()
+    by_pos = W.partitionBy("doc_id", "mark").orderBy("pos")
+    runs = (
         marked.withColumn("new", (F.col("pos") - F.lag("pos", 1, -WINDOW - 1).over(by_pos) > WINDOW).cast("int"))
         .withColumn("run", F.sum("new").over(by_pos))
-        .groupBy("doc_id", "run").agg(F.min("pos").alias("a"), (F.max("pos") + (WINDOW - 1)).alias("b"))
-        .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
+        .groupBy("doc_id", "mark", "run").agg(F.min("pos").alias("a"), (F.max("pos") + (WINDOW - 1)).alias("b"))
+        .groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
     )
+    runs = materialized(runs, "line-runs")
+    dropped(windows)
+    return runs
 
 
-def line_deduped(docs: DataFrame, salts: int = 8, drop_emptied: bool = False, counts: bool = False) -> DataFrame:
+def line_deduped(docs: DataFrame, drop_emptied: bool = False, counts: bool = False) -> DataFrame:
     """`docs` with the repeated windows cut out of `text`; `counts` adds n_lines and n_removed."""
-    runs = materialized(repeated_runs(docs.select("doc_id", "text"), salts), "line-runs").select(F.col("doc_id").alias("__run_doc"), F.col("runs").alias("__runs"))
-    joined = docs.join(runs, docs["doc_id"] == F.col("__run_doc"), "left").withColumn("__lines", F.split("text", "\n", -1))
-    n = F.size("__lines")
+    runs = repeated_runs(docs.select("doc_id", "text")).select(F.col("doc_id").alias("run_doc"), F.col("mark").alias("run_mark"), "runs")
+    # Columns go by their places meanwhile, so no name of theirs can clash.
+    rows = docs.toDF(*(f"d{k}" for k in range(len(docs.columns))))
+    doc_id, text = (f"d{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    joined = rows.join(runs, (F.col(doc_id) == F.col("run_doc")) & (F.xxhash64(text) == F.col("run_mark")), "left").withColumn("lines", F.split(text, "\n", -1))
+    n = F.size("lines")
     gap = lambda i: F.struct(  # noqa: E731  the lines between run i - 1 and run i
-        F.when(i == 0, F.lit(0)).otherwise(F.try_element_at("__runs", F.greatest(i, F.lit(1)).cast("int"))["b"] + 1).alias("a"),
-        F.when(i == F.size("__runs"), n).otherwise(F.try_element_at("__runs", (i + 1).cast("int"))["a"]).alias("b"),
+        F.when(i == 0, F.lit(0)).otherwise(F.try_element_at("runs", F.greatest(i, F.lit(1)).cast("int"))["b"] + 1).alias("a"),
+        F.when(i == F.size("runs"), n).otherwise(F.try_element_at("runs", (i + 1).cast("int"))["a"]).alias("b"),
     )
-    gaps = F.transform(F.sequence(F.lit(0), F.size("__runs")), gap)
-    kept = F.flatten(F.transform(F.filter(gaps, lambda g: g["b"] > g["a"]), lambda g: F.slice("__lines", g["a"] + 1, g["b"] - g["a"])))
-    joined = joined.withColumn("__kept", F.when(F.col("__runs").isNotNull(), kept))
+    gaps = F.transform(F.sequence(F.lit(0), F.size("runs")), gap)
+    kept = F.flatten(F.transform(F.filter(gaps, lambda g: g["b"] > g["a"]), lambda g: F.slice("lines", g["a"] + 1, g["b"] - g["a"])))
+    joined = joined.withColumn("kept", F.when(F.col("runs").isNotNull(), kept))
     if drop_emptied:
-        joined = joined.where(F.col("__kept").isNull() | (F.size("__kept") > 0))
-    removed = F.coalesce(n - F.size("__kept"), F.lit(0)).cast("long")
-    text = F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("text"))
-    out = joined.select(
-        *(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-        *([F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_lines"), removed.alias("n_removed")] if counts else []),
+        joined = joined.where(F.col("kept").isNull() | (F.size("kept") > 0))
+    removed = F.coalesce(n - F.size("kept"), F.lit(0)).cast("long")
+    left = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col(text))
+    return joined.select(
+        *((left if f"d{k}" == text else F.col(f"d{k}")).alias(c) for k, c in enumerate(docs.columns)),
+        *([F.when(F.col(text).isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_lines"), removed.alias("n_removed")] if counts else []),
     )
-    return out
 
 
 #: The op5 query's rows in DuckDB SQL; windows are compared as text there.

@@ -42,6 +42,26 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted((str(r.doc_id), r.text) for r in rows) == [("1", text), ("1", text), ("2", "e"), ("None", text)]
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    docs = [(1, "a\nb\nc"), (1, "x\ny\nz\nw"), (1, "x\ny\nz\nw"), (2, "a\nb\nc\nd"), (2, "p\nq\nr\ns")]
+    rows = line_dedup.line_deduped(spark.createDataFrame([(*d, None, None, 0) for d in docs], DDL)).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "a\nb\nc"), (1, "x\ny\nz\nw"), (1, "x\ny\nz\nw"), (2, "d"), (2, "p\nq\nr\ns")]
+
+
+def test_columns_of_any_name(spark):
+    names = ["run_doc", "runs", "doc_id", "lines", "kept", "text", "d0", "n", "__runs", "__run_doc", "h1"]
+    docs = [(10, 11, i, 12, 13, "a\nb\nc", 14, 15, 16, 17, 18) for i in (1, 2)]
+    out = line_dedup.line_deduped(spark.createDataFrame(docs, names))
+    assert out.columns == names and sorted(map(tuple, out.collect())) == [docs[0], (10, 11, 2, 12, 13, "", *docs[1][6:])]
+
+
+def test_very_long_text_and_a_frequent_window(spark):
+    long_ = "\n".join(f"l{k}" for k in range(60_000))
+    docs = [(0, long_)] + [(i, f"a{i}\nu\nv\nw\nb{i}") for i in range(1, 300)] + [(999, "z\n" + long_ + "\ny")]
+    got = {r.doc_id: r.text for r in line_dedup.line_deduped(spark.createDataFrame([(*d, None, None, 0) for d in docs], DDL).repartition(3)).collect()}
+    assert got == {0: long_, 1: docs[1][1], 999: "z\ny"} | {i: f"a{i}\nb{i}" for i in range(2, 300)}
+
+
 def test_emptied_documents_go_on_request(spark):
     docs = [(1, "a\nb\nc", None, None, 0), (2, "a\nb\nc", None, None, 0)]
     df = spark.createDataFrame(docs, DDL)
