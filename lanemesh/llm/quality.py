@@ -4,13 +4,14 @@ Fixed base rules fail a document with under 10 words or with over 20 % of its wo
 five-word windows. The other limits come from the data: quantile sketches of four ratios per
 language and source, each limit `reach` spreads outside the quartiles. A sketch is a histogram over
 logarithmic buckets (1 % relative error), kept as rows (group, ratio, bucket, count); two sketches
-merge by adding counts, exactly, so results don't depend on partitions or reruns. Groups under
-`least_rows` documents take the limits of their language's merged sketch, and languages under it
-those of the sketch of all documents.
+merge by adding counts, exactly, so results don't depend on partitions or reruns. The limits of every
+language and source are its own sketch's, drawn towards its language's as if these stood for `prior`
+documents more, and a language's are so drawn towards those of all documents.
 
 Defined cases: a null text has no words and fails the base rules; null languages and sources are
 groups of their own; ratios of documents without words are 0 and don't enter the sketches; repeated
-rows count repeatedly and come out alike; empty tables give empty ones; other columns are ignored.
+rows count repeatedly and come out alike; a ratio that equals its limit passes; texts of any length are
+measured whole; empty tables give empty ones; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def limits(sketch: DataFrame, keys: list[str], reach: float) -> DataFrame:
     return quarts.select(*keys, "ratio", "rows", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
-def judged(docs: DataFrame, reach: float = 8.0, least_rows: int = 200) -> DataFrame:
+def judged(docs: DataFrame, reach: float = 8.0, prior: float = 20.0) -> DataFrame:
     """doc_id, the measures, base_failed and kept for every row of `docs`."""
     found = materialized(measured(docs), "quality-measures")
     sketch = materialized(sketches(found), "quality-sketches")
@@ -101,9 +102,11 @@ def judged(docs: DataFrame, reach: float = 8.0, least_rows: int = 200) -> DataFr
         per = limit.groupBy(*keys).agg(F.first("rows").alias(f"rows{n}"), *(F.max(F.when(F.col("ratio") == r, F.struct("low", "high"))).alias(f"{r}{n}") for r, *_ in RATIOS))
         wide.append(per.select(*(F.col(k).alias(f"{k}{n}") for k in keys), *(c for c in per.columns if c not in keys)))
     same = lambda n, *keys: [F.col(k).eqNullSafe(F.col(f"{k}{n}")) for k in keys]
+    # wide[2] is a single row.
     use = groups.join(wide[0], same(0, "lang", "source"), "left").join(wide[1], same(1, "lang"), "left").join(wide[2], F.lit(True), "left")
-    level = F.when(F.col("rows0") >= least_rows, 0).when(F.col("rows1") >= least_rows, 1).otherwise(2)
-    pick = lambda r: F.when(level == 0, F.col(f"{r}0")).when(level == 1, F.col(f"{r}1")).otherwise(F.col(f"{r}2")).alias(f"limit_{r}")
+    drawn = lambda n, r, part, to: (F.col(f"rows{n}") * F.col(f"{r}{n}")[part] + F.lit(prior) * to) / (F.col(f"rows{n}") + F.lit(prior))
+    limit = lambda r, part: drawn(0, r, part, drawn(1, r, part, F.col(f"{r}2")[part])).alias(part)
+    pick = lambda r: F.struct(limit(r, "low"), limit(r, "high")).alias(f"limit_{r}")
     use = materialized(use.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *(pick(r) for r, *_ in RATIOS)), "quality-limits")
     joined = found.join(use, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -112,3 +115,32 @@ def judged(docs: DataFrame, reach: float = 8.0, least_rows: int = 200) -> DataFr
         x, limit = F.expr(f"coalesce({expr}, 0D)"), F.col(f"limit_{name}")
         within = within & F.coalesce((x <= limit["high"]) & ((x >= limit["low"]) if both else F.lit(True)), F.lit(True))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & within).alias("kept"))
+
+
+#: The op7 query's rows in DuckDB SQL.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS n
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM g, (VALUES (0), (1), (2), (3), (4)) AS o(k) WHERE n > 1 GROUP BY doc_id),
+m AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l) AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
+r AS (SELECT doc_id, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS ratio,
+        unnest([word_chars / n_words, n_symbols / n_words, n_dup_lines / n_lines, n_repeat_words / n_words]) AS x FROM m WHERE n_words > 0),
+s AS (SELECT lang, source, ratio, CASE WHEN x > 0 THEN ceil(ln(x) / ln(1.02::DOUBLE))::BIGINT ELSE -1099511627776 END AS bucket, count(*) AS n FROM r GROUP BY ALL),
+a AS (SELECT 0 AS level, lang, source, ratio, bucket, n FROM s UNION ALL SELECT 1, lang, NULL, ratio, bucket, sum(n) FROM s GROUP BY ALL UNION ALL SELECT 2, NULL, NULL, ratio, bucket, sum(n) FROM s GROUP BY ALL),
+p AS (SELECT level, lang, source, ratio, CASE WHEN bucket < 0 AND bucket < -549755813888 THEN 0 ELSE 2 * pow(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS x,
+        sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket) AS through, sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total FROM a),
+q AS (SELECT level, lang, source, ratio, any_value(total)::DOUBLE AS total, min(x) FILTER (through >= total * 0.25) AS q1, min(x) FILTER (through >= total * 0.75) AS q3 FROM p GROUP BY level, lang, source, ratio),
+b AS (SELECT *, q1 - 8 * greatest(q3 - q1, least) AS low, q3 + 8 * greatest(q3 - q1, least) AS high
+      FROM q JOIN (VALUES ('word_length', 0.3::DOUBLE), ('symbols', 0.02::DOUBLE), ('dup_lines', 0.05::DOUBLE), ('repeats', 0.03::DOUBLE)) AS f(name, least) ON name = ratio),
+v AS (SELECT o.lang, o.source, o.ratio,
+        (o.total * o.low + 20 * ((u.total * u.low + 20 * e.low) / (u.total + 20))) / (o.total + 20) AS low, (o.total * o.high + 20 * ((u.total * u.high + 20 * e.high) / (u.total + 20))) / (o.total + 20) AS high
+      FROM b o JOIN b u ON u.level = 1 AND u.ratio = o.ratio AND u.lang IS NOT DISTINCT FROM o.lang JOIN b e ON e.level = 2 AND e.ratio = o.ratio WHERE o.level = 0),
+h AS (SELECT DISTINCT doc_id FROM r JOIN v ON r.ratio = v.ratio AND r.lang IS NOT DISTINCT FROM v.lang AND r.source IS NOT DISTINCT FROM v.source
+      WHERE x > high OR (r.ratio = 'word_length' AND x < low)),
+j AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM h) AS kept FROM j
+"""
