@@ -75,6 +75,8 @@ ORACLES: dict[str, str] = {
     "op4_suffix_dedup": suffixes.ORACLE,
     "op8_jaccard_join": jaccard.ORACLE,
     "op3_mix_sources": mixing.ORACLE,
+    "op6_secret_scan": secrets.ORACLE,
+    "op7_quality_rules": quality.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
     "op10_embedding_dedup": embeddings.ORACLE,
 }

@@ -96,3 +96,29 @@ def secret_report(docs: DataFrame, scope: int = 400) -> DataFrame:
     return rows.join(per, F.col("doc_id").eqNullSafe(F.col("p_doc")) & (F.col("mark") == F.col("p_mark")), "left").select(
         "doc_id", *(zero(f"n_{k}") for k in STRONG), F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), zero("n_linked")
     )
+
+
+#: The op6 query's rows in DuckDB SQL: a pattern's gaps and matches by turns, their lengths summed up.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k(kind, o, pattern) AS (VALUES
+  ('assign', 0, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+  ('access', 1, 'AKIA[A-Z0-9]{12,}'), ('hex', 2, '[0-9a-f]{32,}'),
+  ('ident', 3, '(?i:access_?key_?id|client_?id|user_?name|account_?id|login)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9_.@-]{4,}'),
+  ('blob', 4, '[A-Za-z0-9+/_-]{20,}'), ('endpoint', 5, '(?i:https?|jdbc:[a-z]{1,16}|mongodb|postgres|mysql|redis|amqp)://[A-Za-z0-9.:@/_-]{4,}')),
+m AS (SELECT doc_id, kind, o, regexp_extract_all(t, pattern) AS found, string_split_regex(t, pattern) AS gaps FROM d, k),
+e AS (SELECT doc_id, kind, o, found[i] AS m, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + list_sum(list_transform(found[1:i], lambda x: length(x))) AS stop
+      FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0)),
+s AS (SELECT doc_id, kind, o, stop - length(m) AS start, stop FROM e
+      WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(m, '^[^:=]*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8
+                      WHEN 'blob' THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') ELSE true END),
+n(kind, need) AS (VALUES ('ident', ['assign', 'hex', 'blob']), ('blob', ['access', 'ident']), ('endpoint', ['assign', 'access', 'hex', 'ident'])),
+u AS (SELECT * FROM s WHERE o < 3 UNION ALL
+      SELECT s.* FROM s JOIN n ON n.kind = s.kind WHERE EXISTS (SELECT 1 FROM s p WHERE p.doc_id = s.doc_id AND list_contains(n.need, p.kind) AND abs(p.start - s.start) <= 400)),
+f AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (o >= 3) AS n_linked,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base
+      FROM u GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0)::BIGINT AS n_linked
+FROM d LEFT JOIN f ON f.doc_id = d.doc_id
+"""
