@@ -10,7 +10,8 @@ pairs leave a task: only numbers of links and, for the components, one edge a ve
 Defined cases: null labels, null, empty or zero vectors and vectors with null or non-finite
 components link with nothing and are kept; vectors of different lengths don't link; rows that repeat
 a vec_id with the same vector are one vector and come out alike; a null vec_id links with nothing,
-has a null component and is not kept; an empty table gives an empty one; other columns are ignored.
+has a null component and is not kept; of equal vectors and of linked ones the smallest vec_id names the
+component, so ties can't occur; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,16 +24,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialized
+from .common import dropped, materialized, spread_join
 from .graph import components
 
 SEED = 20240229
+#: Bytes that a verifying task reads, about.
+SHARE = 32 << 20
 
 
-def plan_tables(largest: int, threshold: float, miss: float) -> tuple[int, int]:
-    """bits, tables for labels of up to `largest` vectors."""
+def plan_tables(largest: int, threshold: float, miss: float, least_bits: int = 6) -> tuple[int, int]:
+    """bits, tables for labels of up to `largest` vectors. Without bits all vectors of a label share a bucket."""
+    if not miss:
+        return 0, 1
     same = 1 - math.acos(threshold) / math.pi
-    bits = min(24, max(6, math.ceil(math.log2(max(largest, 2) / 24))))
+    bits = min(24, max(least_bits, math.ceil(math.log2(max(largest, 2) / 24))))
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-(same**bits))))
 
 
@@ -75,17 +80,20 @@ def link_block(x: np.ndarray, rep: np.ndarray, mult: np.ndarray, sig: np.ndarray
     return links, least
 
 
-def linked(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-4, block: int = 2048) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of `vectors` (vec_id, embedding, label)."""
+def linked(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-4, block: int = 2048, least_bits: int = 6) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of `vectors` (vec_id, embedding, label).
+
+    With miss=0 no link is lost: a label's vectors are then all compared, block by block.
+    """
     spark = vectors.sparkSession
     wide = vectors.schema["embedding"].dataType.elementType.simpleString() == "double"
     raw = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{'double' if wide else 'float'}>").alias("embedding"), F.col("label").cast("string").alias("label"))
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
     good = raw.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(fine, F.lit(False)))
 
-    classes = materialized(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("mult")), "vec-classes")
+    classes = materialized(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("mult"), F.count(F.lit(1)).alias("copies")), "vec-classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    bits, tables = plan_tables(largest, threshold, miss)
+    bits, tables = plan_tables(largest, threshold, miss, least_bits)
     kind = np.float64 if wide else np.float32
 
     def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,7 +146,10 @@ def linked(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-4, bloc
         if held is not None:
             yield from solve(held)
 
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # A vector goes to a task once a table, with its signatures.
+    dims = classes.agg(F.sum(F.size("embedding"))).first()[0] or 0
+    held = tables * (dims * np.dtype(kind).itemsize + classes.count() * (4 * tables + 100))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(held / SHARE))
     found = materialized(dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(verify, "rep long, links long, least long"), "vec-found")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comps = components(found.where("least <> rep").select(F.col("rep").alias("a"), F.col("least").alias("b")), "vec-components")
@@ -147,11 +158,10 @@ def linked(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-4, bloc
         .select(F.col("rep").alias("c_rep"), (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")),
         "vec-result",
     )
-    # Members of classes of several vectors find their class by value, salted; all others are their own.
-    salts = 8
-    shared = classes.where("mult > 1").select(F.col("label").alias("c_label"), F.col("embedding").alias("c_embedding"), F.col("rep").alias("shared_rep"), F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
-    on = (F.col("label") == F.col("c_label")) & (F.col("embedding") == F.col("c_embedding")) & (F.pmod(F.xxhash64("vec_id"), F.lit(salts)) == F.col("salt"))
-    members = raw.join(shared, on, "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("shared_rep", "vec_id")).alias("rep"))
+    dropped(signed, full, found)
+    # Members of classes of several vectors find their class by value; all others are their own.
+    shared = classes.where("mult > 1").select(F.col("label").alias("c_label"), F.col("embedding").alias("c_embedding"), F.col("rep").alias("shared_rep"), "copies")
+    members = spread_join(raw, shared, {"label": "c_label", "embedding": "c_embedding"}, "shared_rep", "copies", vectors.count(), F.col("vec_id")).select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("shared_rep", "vec_id")).alias("rep"))
     return members.join(result, F.col("rep") == F.col("c_rep"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -57,6 +57,29 @@ def test_equals_all_pairs(spark, block):
     assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
 
 
+def test_exact_without_misses(spark):
+    rows = corpus()
+    got = embeddings.linked(spark.createDataFrame(rows, DDL).repartition(3), miss=0, block=100).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
+def test_recall_of_large_labels_tables(spark):
+    """With as many bits and tables as labels of 400 million vectors get, on pairs just above the threshold."""
+    rng = np.random.default_rng(6)
+    bits, tables = embeddings.plan_tables(400_000_000, 0.98, 1e-4)
+    assert bits == 24 and tables > 30
+    rows = []
+    for k in range(400):
+        x = rng.standard_normal(32)
+        x /= np.linalg.norm(x)
+        y = rng.standard_normal(32)
+        y -= (x @ y) * x
+        c = 0.98 + rng.random() * 0.004 + 1e-6
+        rows += [(2 * k, x.tolist(), 1), (2 * k + 1, (c * x + np.sqrt(1 - c * c) * y / np.linalg.norm(y)).tolist(), 1)]
+    got = embeddings.linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), least_bits=24).collect()
+    assert sum(r.n_links for r in got) >= 0.995 * 800
+
+
 def test_empty_table(spark):
     assert embeddings.linked(spark.createDataFrame([], DDL)).count() == 0
 
@@ -65,3 +88,9 @@ def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1001 + i) for i in range(300)] + [(2000 + i, 2000 + (i + 1) % 17) for i in range(17)] + [(5, 5), (1005, 1000)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1301)} | {i: 2000 for i in range(2000, 2017)}
+
+
+def test_edges_without_an_end(spark):
+    edges = [(1, 2), (None, 5), (7, None), (2, 3), (2, 3)]
+    assert {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()} == {1: 1, 2: 1, 3: 1}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
