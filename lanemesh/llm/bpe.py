@@ -213,7 +213,14 @@ def little_endian(ids: array) -> bytes:
     return ids.tobytes()
 
 
-_encoders: dict[tuple[int, str], TextEncoder] = {}
+_encoders: dict[tuple[str, str], TextEncoder] = {}
+
+
+def digest_of(ranks: dict[bytes, int]) -> str:
+    found = hashlib.sha256()
+    for token, rank in sorted(ranks.items()):
+        found.update(b"%d,%d:" % (rank, len(token)) + token)
+    return found.hexdigest()
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False, round_trip: bool = True) -> DataFrame:
@@ -222,12 +229,11 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kee
     One pass without a shuffle. The ranks are the only broadcast: their number is that of the
     vocabulary, whatever the input.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(ranks)
+    shipped, key = docs.sparkSession.sparkContext.broadcast(ranks), (digest_of(ranks), pattern)
     kept = ["lang", "source"] if keep_ids else []
     schema = pa.schema([("doc_id", pa.int64()), *((k, pa.string()) for k in kept), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (len(shipped.value), pattern)
         if key not in _encoders:
             _encoders[key] = TextEncoder(shipped.value, pattern)
         coder = _encoders[key]
