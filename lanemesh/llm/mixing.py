@@ -4,8 +4,9 @@ Every document has a fixed 60-bit hash of its id. Words are summed by source and
 bucket in which a source's budget runs out is refined into 4,096 finer ones, five times over, until
 its buckets are single hash values. A document is then taken if its hash lies below its source's
 threshold, so nothing is sorted and a smaller budget always takes a subset of a larger one's rows.
+Sources have to be few enough for one task to hold a row of each.
 
-Defined cases: a null text has size 0 (taken 0); a null source is a source of its own that comes
+Defined cases: texts of any length are counted whole; a null text has size 0 (taken 0); a null source is a source of its own that comes
 last; a null id hashes like an empty one; rows with equal ids are taken or left together; sources
 without words and empty tables give targets of 0; other columns are ignored.
 """
@@ -74,7 +75,8 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
         b = open_.select(F.col("source").alias("b_source"), "budget_id", "budget", F.col("at").alias("b_at"), "below")
         same = F.col("source").eqNullSafe(F.col("b_source"))
         if level:
-            rows = rows.join(open_.select(F.col("source").alias("b_source"), F.col("at").alias("b_at")).distinct(), same & (F.shiftright("h", LEVELS[level - 1]) == F.col("b_at")), "left_semi")
+            # Only the boundary buckets' rows are read from here on.
+            rows = materialized(rows.join(open_.select(F.col("source").alias("b_source"), F.col("at").alias("b_at")).distinct(), same & (F.shiftright("h", LEVELS[level - 1]) == F.col("b_at")), "left_semi"), f"mix-rows{level}")
         hist = rows.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("words"))
         joined = hist.join(b, same & (F.shiftright("bucket", LEVELS[level - 1] - shift) == F.col("b_at")) if level else same)
         through = F.sum("words").over(W.partitionBy("source", "budget_id").orderBy("bucket")) + F.col("below")
@@ -86,18 +88,38 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return done
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of `docs`."""
-    sizes = materialized(sized(docs), "mix-sizes")
+def planned(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
+    """w_source, source_size, target, repeats, threshold: a row a source, by which any document of it is decided."""
     wanted = materialized(targets(sizes, weights, most), "mix-targets")
     ends = thresholds(sizes, wanted.select("source", F.lit(0).alias("budget_id"), "budget").where("budget > 0"))
-    plan = materialized(
+    return materialized(
         wanted.join(ends.select(F.col("source").alias("e_source"), "threshold"), F.col("source").eqNullSafe(F.col("e_source")), "left")
         .select(F.col("source").alias("w_source"), "source_size", "target", "repeats", F.coalesce("threshold", F.lit(0).cast("long")).alias("threshold")),
         "mix-plan",
     )
-    times = F.col("repeats") + (F.col("h") < F.col("threshold")).cast("long")
-    return sizes.join(plan, F.col("source").eqNullSafe(F.col("w_source"))).select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
+
+
+def times() -> Column:
+    """How often a document of hash h is taken."""
+    return F.col("repeats") + (F.col("h") < F.col("threshold")).cast("long")
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
+    """The rows of `docs` that have a word, each as often as the mix takes it; nothing but the plan is joined to them."""
+    plan = planned(materialized(sized(docs).select("source", "size", "h"), "mix-sizes"), weights, most)
+    # Columns go by their places meanwhile, so no name of theirs can clash.
+    names = [f"d{k}" for k in range(len(docs.columns))]
+    doc_id, source, text = (names[docs.columns.index(c)] for c in ("doc_id", "source", "text"))
+    rows = docs.toDF(*names).where(text_or_empty(text).rlike(WORD)).withColumns({"h": id_hash(doc_id), "m_source": F.col(source).cast("string")})
+    taken = rows.join(plan, F.col("m_source").eqNullSafe(F.col("w_source"))).withColumn("times", times()).where("times > 0")
+    return taken.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*(F.col(k).alias(c) for k, c in zip(names, docs.columns)))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every row of `docs`."""
+    sizes = materialized(sized(docs), "mix-sizes")
+    plan = planned(sizes, weights, most)
+    return sizes.join(plan, F.col("source").eqNullSafe(F.col("w_source"))).select("doc_id", "size", "source_size", "target", (F.col("size") * times()).alias("taken"))
 
 
 #: The same by running sums over each source's hash values in order, in DuckDB SQL.
