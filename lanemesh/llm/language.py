@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .suffixes import POWERS, TABLE, mix
 
@@ -347,26 +348,28 @@ def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_word
         model = train([text for _, _, text in found], [lang for _, lang, _ in found])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    # One task fits the bounded sample; the driver only passes the model on.
-    return pickle.loads(rows.where(chosen).coalesce(1).mapInArrow(fit, "model binary").first()["model"])
+    # One task fits the bounded sample, and only that travels to it; the driver only passes the model on.
+    return pickle.loads(rows.where(chosen).repartition(1).mapInArrow(fit, "model binary").first()["model"])
 
 
-def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row of `docs`."""
+def identified(docs: DataFrame, model: Model | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every row of `docs`; with `columns` these in place of the first two."""
     model = model or learned(docs)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "held_out", "lang_pred", "score"]
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out")
+    own = docs.select(*columns) if columns else docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out)
+    # A text that is passed through crosses to Python once.
+    source = own if "text" in columns else own.withColumn("text", docs["text"].cast("string")) if columns else docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out, F.col("text").cast("string").alias("text"))
+    names = [*own.columns, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shipped.value
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("text").cast(pa.string())
             sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
             cut = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1
             for a, b in zip([0, *cut], [*cut, batch.num_rows]):
                 if b > a:
-                    langs, shares = predict(own, texts.slice(a, b - a).to_pylist())
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=names)
+                    langs, shares = predict(shipped.value, texts.slice(a, b - a).to_pylist())
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names[:-2]), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=names)
 
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out, F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return source.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
