@@ -4,15 +4,22 @@ A document is the set of its distinct `N`-word shingles (64-bit hashes). Equal s
 Tokens are ordered from rare to frequent by counts in a fixed number of cells, and sets meet in the
 inverted lists of their prefixes, as two sets over the threshold share a token there.
 
-Index level: lists are sorted by size and read in blocks of equal distance; members whose size or
-position in the prefix leaves too little to share are skipped. Answer level: a list above `SMALL`
-members is not paired up. All its members are compared with one pivot. Two members linked to the
+Index level: a list is sorted by size and read in blocks of four members. A link is found at the first
+token that two sets have in common, so all they share lies behind it; that bounds the size a set can be
+linked to by its own size and the token's position (`reach`). A block whose least size and largest reach
+leave no member of another block possible is skipped whole, and so are all blocks of larger sizes.
+Answer level: a list that stays above `SMALL` possible pairs a member, or is too long to be read in
+place, is not paired up. All its members that size leaves possible are compared with one pivot. Two members linked to the
 pivot are connected already. For all others near the pivot, their overlap follows from the pivot's
 answers: with A what a set lacks of the pivot and B what it has beyond it, |y & z| = |p| - |Ay| - |Az|
 + |Ay & Az| + |By & Bz|, so only differences are compared, through an index of the differences. If y is
 linked to the pivot and z is not even near it (twice the distance), they can't be linked. Lists that
 share members mostly get one pivot, as it is the least of the members of their members' lists. Members
-that are left go through further pivots and in the end through all pairs, so no link is lost.
+that are left go through further pivots and in the end through those pairs of their lists that size and
+position leave possible, so no link is lost.
+
+Tokens of frequent cells never meet in one task: their members go by set to the answer level, whose
+joins Spark splits where a token is skewed.
 
 Before sets are sent to be compared, bitmaps of the parity of a set's hashes (two bits a token) give a
 lower bound of how many tokens two sets differ in; pairs that it rules out go no further.
@@ -20,7 +27,8 @@ lower bound of how many tokens two sets differ in; pairs that it rules out go no
 Defined cases: texts without words, null and empty ones are empty sets, linked with nothing; with fewer
 than N words the whole sequence is the only shingle; ties don't matter, as links are exact; rows that
 repeat a doc_id and text come out alike; rows with a null doc_id link with nothing and have a null
-component; an empty table gives an empty one; other columns are ignored.
+component; texts of any length are taken whole, several at a time only up to `BLOCK` bytes; an empty
+table gives an empty one; other columns are ignored. Equal sets are told by size and a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -32,16 +40,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, materialized, text_or_empty
+from .common import dropped, grouped, materialized, spread_join, text_or_empty
 from .graph import components
 from .suffixes import POWERS, TABLE, _packed, _unpacked, mix
 
-SMALL, PIVOT_ROUNDS = 8, 4
+#: Possible pairs a member above which a list gets a pivot, rounds of pivots, members of a list that is read in place, and of a block.
+SMALL, PIVOT_ROUNDS, LONGEST, MEMBERS = 8, 4, 64, 4
 CELLS, CHUNKS = 1 << 21, 64
-PART_BYTES, BLOCK, SHARE = 1 << 19, 24 << 20, 32 << 20
+PART_BYTES, BLOCK, SHARE = 1 << 19, 4 << 20, 32 << 20
 ENTRY = np.dtype([("t", "<i8"), ("s", "<i8"), ("n", "<u4"), ("p", "<u4")])
 TOKEN = np.dtype([("t", "<i8")])
 _lower = np.arange(256, dtype=np.uint8)
@@ -174,24 +183,45 @@ def levels(found: DataFrame) -> np.ndarray:
 LISTED = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("token", pa.int64()), ("n", pa.int64()), ("p", pa.int64())])
 
 
-def list_pairs(e: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs of set ids from lists (e sorted by token and size) that size and position leave possible."""
-    out = []
-    for gap in range(1, SMALL):
-        i = np.flatnonzero(e["t"][gap:] == e["t"][:-gap]) if gap < len(e) else []
-        if not len(i):
-            break
-        a, b = e[i], e[i + gap]
-        na, nb, pa_, pb = (v.astype(np.int64) for v in (a["n"], b["n"], a["p"], b["p"]))
-        most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
-        ok = (100 * na >= percent * nb) & (most >= needed_overlap(na, nb, percent))
-        out.append(np.stack([np.minimum(a["s"], b["s"])[ok], np.maximum(a["s"], b["s"])[ok]], 1))
-    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+def reach(n: np.ndarray, p: np.ndarray, percent: int) -> np.ndarray:
+    """The largest set that one of n tokens can be linked to if its token p is the first they have in common."""
+    return (100 + percent) * (n - p) // percent - n
+
+
+def frequent(level: np.ndarray) -> int:
+    """The level from which a cell's tokens don't meet in one task: 4096 occurrences, and 16 times the mean cell's."""
+    return math.ceil(6 * math.log2(max(4096, 16 * float(np.exp2(level / 6).mean())) + 1))
+
+
+def list_pairs(e: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """e: lists of LONGEST members at most, sorted by token and size. Members i < j that size and position leave possible.
+
+    Blocks are compared at growing distances; a block that rules a later one out by size is done with it and all behind.
+    """
+    n, p = e["n"].astype(np.int64), e["p"].astype(np.int64)
+    far = reach(n, p, percent)
+    start = np.flatnonzero(np.r_[True, e["t"][1:] != e["t"][:-1]])
+    which = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(e)]))
+    head = np.flatnonzero((np.arange(len(e)) - start[which]) % MEMBERS == 0)
+    end, of, least, most = np.r_[head[1:], len(e)], which[head], n[head], np.maximum.reduceat(far, head)
+    left, gap, found = np.arange(len(head)), 0, []
+    step = np.arange(MEMBERS)
+    while len(left):
+        left = left[left + gap < len(head)]
+        left = left[(of[left + gap] == of[left]) & (least[left + gap] <= most[left])]
+        a = left[least[left] <= most[left + gap]]
+        i, j = (x.ravel() for x in np.broadcast_arrays(head[a][:, None, None] + step[:, None], head[a + gap][:, None, None] + step))
+        ok = (i < np.repeat(end[a], MEMBERS**2)) & (j < np.repeat(end[a + gap], MEMBERS**2)) & (i < j)
+        i, j = i[ok], j[ok]
+        ok = (n[j] <= far[i]) & (n[i] <= far[j])
+        found.append((i[ok], j[ok]))
+        gap += 1
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, buckets: int) -> DataFrame:
-    """Rows x, y: pairs from short lists. Rows token, x, n, p: members of lists above SMALL, with the token's place."""
-    shipped = rows.sparkSession.sparkContext.broadcast(level)
+    """Rows x, y: pairs from lists read in place. Rows token, x, n, p: members of all other lists, with the token's place."""
+    shipped, often = rows.sparkSession.sparkContext.broadcast(level), frequent(level)
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +230,10 @@ def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, bucke
             flat, counts = shingle_sets(texts, n)
             ends = np.cumsum(counts)
             sids = np.array([set_id(flat[b - c : b]) for b, c in zip(ends.tolist(), counts.tolist())], np.int64)
-            doc = np.repeat(np.arange(len(counts)), counts)
-            flat = flat[np.lexsort((flat, rank[cell_of(flat)], doc))]
+            doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+            rank_of = rank[cell_of(flat)]
+            order = np.lexsort((flat, rank_of, doc))
+            flat, rank_of = flat[order], rank_of[order]
             place = np.arange(len(flat)) - np.repeat(ends - counts, counts)
             own = np.zeros(len(counts), bool)
             own[np.unique(sids, return_index=True)[1]] = True
@@ -209,23 +241,23 @@ def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, bucke
             use = np.flatnonzero((place < prefix[doc]) & own[doc])
             e = np.empty(len(use), ENTRY)
             e["t"], e["s"], e["n"], e["p"] = flat[use], sids[doc[use]], counts[doc[use]], place[use]
-            e = e[np.argsort(e["t"], kind="stable")]
+            order = np.argsort(e["t"], kind="stable")
+            e, hot = e[order], rank_of[use][order] >= often
+            del flat, doc, place, rank_of, use
             first = np.flatnonzero(np.r_[True, e["t"][1:] != e["t"][:-1]]) if len(e) else np.empty(0, np.int64)
             size = np.diff(np.r_[first, len(e)])
             large = np.repeat(size > SMALL, size)
-            out = []
-            # Kind 0: entries to be matched. 1: tokens whose lists are long already here. 2: their entries.
-            for kind, x in ((0, e[~large]), (1, e[first[size > SMALL]]), (2, e[large])):
+            # Kind 0: entries to be matched. 1: tokens whose lists are long already here. 2: their entries, and those of frequent cells.
+            for kind, x in ((0, e[~large & ~hot]), (1, e[first][(size > SMALL) & ~hot[first]]), (2, e[large | hot])):
                 to = (x["t"].view(np.uint64) if kind < 2 else x["s"].view(np.uint64)) % np.uint64(buckets)
                 order = np.lexsort((x["p"], x["s"], to))
                 x, to = x[order], to[order].astype(np.int64)
                 cut = np.searchsorted(to, np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(cut)):
-                    part = x[cut[b] : cut[b + 1]]
-                    part = part[["t"]].astype(TOKEN) if kind == 1 else part
-                    out.append((int(b), kind, len(part), _packed(part)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+                full = np.flatnonzero(np.diff(cut))
+                for at in range(0, len(full), 256):
+                    part = [x[cut[b] : cut[b + 1]] for b in full[at : at + 256]]
+                    data = [_packed(y[["t"]].astype(TOKEN) if kind == 1 else y) for y in part]
+                    yield pa.RecordBatch.from_arrays([pa.array(full[at : at + 256].astype(np.int32)), pa.array(np.full(len(part), kind, np.int32)), pa.array(list(map(len, part)), pa.int64()), pa.array(data, pa.binary())], schema=schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask: dict[int, list] = {}
@@ -236,21 +268,35 @@ def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, bucke
                     yield long_rows(_unpacked(data, size, ENTRY))
                 else:
                     (tell if kind else ask).setdefault(b, []).append(_unpacked(data, size, TOKEN if kind else ENTRY))
-        for b, parts in ask.items():
+        while ask:
+            b, parts = ask.popitem()
             e = np.concatenate(parts)
             e = e[np.lexsort((e["s"], e["n"], e["t"]))]
             e = e[np.r_[True, (e["t"][1:] != e["t"][:-1]) | (e["s"][1:] != e["s"][:-1])]]
             first = np.flatnonzero(np.r_[True, e["t"][1:] != e["t"][:-1]])
             size = np.diff(np.r_[first, len(e)])
-            long_ = size > SMALL
+            long_ = size > LONGEST
             if b in tell:
-                long_ |= np.isin(e["t"][first], np.unique(np.concatenate(tell[b])["t"]))
+                long_ |= np.isin(e["t"][first], np.unique(np.concatenate(tell.pop(b))["t"]))
             if long_.any():
                 yield long_rows(e[np.repeat(long_, size)])
-            pairs = list_pairs(e[np.repeat(~long_ & (size > 1), size)], percent)
-            if len(pairs):
-                none = pa.nulls(len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], schema=LISTED)
+            x, size = e[np.repeat(~long_ & (size > 1), size)], size[~long_ & (size > 1)]
+            # Whole lists at a time, about 50,000 members.
+            end = np.cumsum(size)
+            for part in np.split(np.arange(len(size)), np.flatnonzero(np.diff(end // 50_000)) + 1):
+                if not len(part):
+                    continue
+                y = x[end[part[0]] - size[part[0]] : end[part[-1]]]
+                which = np.repeat(np.arange(len(part)), size[part])
+                i, j = list_pairs(y, percent)
+                many = np.bincount(which[i], minlength=len(part)) > SMALL * size[part]
+                if many.any():
+                    yield long_rows(y[many[which]])
+                i, j = i[~many[which[i]]], j[~many[which[i]]]
+                pairs = np.unique(np.sort(np.stack([y["s"][i], y["s"][j]], 1), 1), axis=0)
+                if len(pairs):
+                    none = pa.nulls(len(pairs), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], schema=LISTED)
 
     def long_rows(e: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(e["s"]), pa.nulls(len(e), pa.int64()), pa.array(e["t"]), pa.array(e["n"].astype(np.int64)), pa.array(e["p"].astype(np.int64))], schema=LISTED)
@@ -312,8 +358,8 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "x long, y long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, load: int = 2000) -> DataFrame:
-    """x, y, nx, ny, linked, near of linked pairs; with `differences` of near pairs, and lack (x - y) and more (y - x).
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, label: str, load: int = 2000) -> DataFrame:
+    """Written under `label`: x, y, nx, ny, linked, near of linked pairs; with `differences` of near pairs, and lack (x - y) and more (y - x).
 
     A set travels once for each pair it is the y of; x's with more than `load` pairs are spread over
     several tasks.
@@ -351,7 +397,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differe
 
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("nx", pa.int64()), ("ny", pa.int64()), ("linked", pa.bool_()), ("near", pa.bool_()), *([("lack", pa.binary()), ("more", pa.binary())] if differences else [])])
     dealt = own.unionByName(left).repartition(parts, "x", "part").sortWithinPartitions("x", "part", F.col("y").asc_nulls_first())
-    return dealt.mapInArrow(run, "x long, y long, nx long, ny long, linked boolean, near boolean" + ", lack binary, more binary" * differences)
+    out = materialized(dealt.mapInArrow(run, "x long, y long, nx long, ny long, linked boolean, near boolean" + ", lack binary, more binary" * differences), label)
+    dropped(pairs)
+    return out
 
 
 def derived(star: DataFrame, percent: int, parts: int, block: int = 2048) -> DataFrame:
@@ -429,17 +477,22 @@ def difference_links(z: pd.DataFrame, y: pd.DataFrame, percent: int, most: int =
 
 
 def pivots_of(members: DataFrame, turn: int) -> DataFrame:
-    """token, pivot. Few tokens before the list's own mark a set in the midst of others, so that is the first to be taken.
+    """token, pivot, pivot_n. Few tokens before the list's own mark a set in the midst of others, so that is the first to be taken.
 
     In even turns a list takes the first one of all its members' lists, which gives lists that share
     members one pivot; in odd turns its own.
     """
-    mark = F.struct("p", F.xxhash64("sid", F.lit(turn)).alias("h"), "sid")
+    mark = F.struct("p", F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "n")
     lists = members.groupBy("token").agg(F.min(F.when(F.col("far"), mark)).alias("m"))
     if turn % 2 == 0:
         sets = members.select("token", "sid").join(lists, "token").groupBy("sid").agg(F.min("m").alias("m"))
         lists = members.select("token", "sid").join(sets, "sid").groupBy("token").agg(F.min("m").alias("m"))
-    return lists.select("token", F.col("m.sid").alias("pivot"))
+    return lists.select("token", F.col("m.sid").alias("pivot"), F.col("m.n").alias("pivot_n"))
+
+
+def near_enough(percent: int) -> Column:
+    """Does the size of a member leave it possible that it is near its pivot?"""
+    return F.lit(percent) * F.greatest("n", "pivot_n") <= 100 * F.least("n", "pivot_n")
 
 
 def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -448,7 +501,7 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     found = materialized(described(rows, n), "jaccard-sets")
     sets = found.where("chunk is null").select("doc_id", "n", "sid")
-    reps = materialized(sets.where("doc_id is not null and n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")), "jaccard-reps")
+    reps = materialized(sets.where("doc_id is not null and n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("copies")), "jaccard-reps")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARE))
     lists = materialized(prefix_lists(rows, n, percent, levels(found), max(1, math.ceil(total / SHARE))), "jaccard-lists")
@@ -457,31 +510,36 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     members = lists.where("token is not null").select("token", F.col("x").alias("sid"), "n", "p").distinct()
     wanted = lists.select(F.explode(F.array("x", "y")).alias("sid")).where("sid is not null").distinct()
     tokens = materialized(sets_of(rows.where("doc_id is not null"), wanted.join(reps, "sid").select(F.col("rep").alias("doc_id"), "sid"), n), "jaccard-tokens")
-    links = [materialized(verified(pairs, tokens, percent, percent, False, parts), "jaccard-links").select(F.col("x").alias("a"), F.col("y").alias("b"))]
+    ends = lambda df: df.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    first = verified(pairs, tokens, percent, percent, False, parts, "jaccard-links")
+    written, links = [first], [ends(first)]
 
     near = max(0, 2 * percent - 100)
     left = materialized(members.withColumn("far", F.lit(True)), "jaccard-members")
+    dropped(lists)
     for turn in range(PIVOT_ROUNDS + 1):
         if left.isEmpty():
             break
         if turn == PIVOT_ROUNDS:
-            # A pair is made where its first common token is, and nowhere else.
-            all_ = left.groupBy("sid").agg(F.collect_set("token").alias("tokens"))
-            rows_ = left.join(all_, "sid")
-            a, b = (rows_.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "far", "tokens"))) for k in "ab")
-            first = F.array_min(F.array_intersect("tokens_a", "tokens_b")) == F.col("token_a")
-            on = (F.col("token_a") == F.col("token_b")) & (F.col("sid_a") < F.col("sid_b")) & (F.col("far_a") | F.col("far_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & first
-            rest = a.withColumnRenamed("token", "token_a").join(b.withColumnRenamed("token", "token_b"), on).select(F.col("sid_a").alias("x"), F.col("sid_b").alias("y"))
-            links.append(materialized(verified(rest, tokens, percent, percent, False, parts), "jaccard-rest").select(F.col("x").alias("a"), F.col("y").alias("b")))
+            reaches = F.expr(f"{100 + percent} * (n - p) div {percent} - n")
+            a, b = (left.withColumn("reach", reaches).select(F.col("token").alias(f"token_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "far", "reach"))) for k in "ab")
+            on = (F.col("token_a") == F.col("token_b")) & (F.col("sid_a") < F.col("sid_b")) & (F.col("far_a") | F.col("far_b")) & (F.col("n_a") <= F.col("reach_b")) & (F.col("n_b") <= F.col("reach_a"))
+            rest = verified(a.join(b, on).select(F.col("sid_a").alias("x"), F.col("sid_b").alias("y")).distinct(), tokens, percent, percent, False, parts, "jaccard-rest")
+            written.append(rest)
+            links.append(ends(rest))
             break
         spokes = materialized(left.join(pivots_of(left, turn), "token").where("sid <> pivot"), "jaccard-spokes")
-        star = materialized(verified(spokes.select(F.col("pivot").alias("x"), F.col("sid").alias("y")).distinct(), tokens, percent, near, True, parts), "jaccard-star")
-        links.append(star.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        links.append(materialized(derived(star, percent, parts), "jaccard-derived"))
+        star = verified(spokes.where(near_enough(near)).select(F.col("pivot").alias("x"), F.col("sid").alias("y")).distinct(), tokens, percent, near, True, parts, "jaccard-star")
+        new = materialized(ends(star).unionByName(derived(star, percent, parts)), "jaccard-derived")
+        written.append(new)
+        links.append(new)
         status = star.select(F.col("x").alias("pivot"), F.col("y").alias("sid"), "linked")
         open_ = spokes.join(status, ["pivot", "sid"], "left").where("linked is null or not linked").select("token", "sid", "n", "p", F.col("linked").isNull().alias("far"))
         some = open_.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.count(F.when(F.col("far"), 1)).alias("f")).where("f > 0 and m > 1").select("token")
-        left = materialized(open_.join(some, "token"), "jaccard-members")
+        later = materialized(open_.join(some, "token"), "jaccard-members")
+        dropped(left, spokes, star)
+        left = later
+    dropped(left, tokens)
 
     edges = links[0]
     for more in links[1:]:
@@ -489,12 +547,12 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     to_rep = lambda c: reps.select(F.col("sid").alias(c), F.col("rep").alias(f"rep_{c}"))
     edges = edges.distinct().join(to_rep("a"), "a").join(to_rep("b"), "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     comps = components(edges, "jaccard-components").select(F.col("node").alias("c_node"), "component")
+    dropped(*written)
 
-    # Members of sets that several documents have find their representative by a salted join.
-    salts = 8
-    shared = reps.where("rep <> last").select(F.col("sid").alias("s_sid"), F.col("n").alias("s_n"), F.col("rep").alias("s_rep"), F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
-    on = (F.col("sid") == F.col("s_sid")) & (F.col("n") == F.col("s_n")) & (F.pmod(F.xxhash64("doc_id"), F.lit(salts)) == F.col("salt"))
-    own = sets.join(shared, on, "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("s_rep", "doc_id")).alias("rep"))
+    # Members of sets that several documents have find their representative.
+    shared = reps.where("rep <> last").select(F.col("sid").alias("s_sid"), F.col("n").alias("s_n"), F.col("rep").alias("s_rep"), "copies")
+    own = spread_join(sets, shared, {"sid": "s_sid", "n": "s_n"}, "s_rep", "copies", sets.count(), F.col("doc_id"))
+    own = own.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("s_rep", "doc_id")).alias("rep"))
     return own.join(comps, F.col("rep") == F.col("c_node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lanemesh.llm import jaccard
@@ -53,9 +54,11 @@ def corpus(rng):
     return docs
 
 
-@pytest.mark.parametrize("small", [8, 3])
-def test_equals_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(jaccard, "SMALL", small)
+@pytest.mark.parametrize(("small", "rounds", "longest"), [(8, 4, 64), (3, 4, 64), (3, 0, 4), (3, 1, 4), (0, 2, 64)])
+def test_equals_brute_force(spark, monkeypatch, small, rounds, longest):
+    """Also where most lists get pivots, and where pairs are left after the last round."""
+    for name, value in (("SMALL", small), ("PIVOT_ROUNDS", rounds), ("LONGEST", longest)):
+        monkeypatch.setattr(jaccard, name, value)
     docs = corpus(random.Random(1))
     got = jaccard.joined(spark.createDataFrame(docs, DDL).repartition(3)).collect()
     assert len(got) == len(docs)
@@ -65,3 +68,38 @@ def test_equals_brute_force(spark, monkeypatch, small):
 
 def test_empty_table(spark):
     assert jaccard.joined(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_frequent_cells_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "frequent", lambda level: 12)  # from three occurrences
+    docs = corpus(random.Random(2))
+    got = jaccard.joined(spark.createDataFrame(docs, DDL).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs)
+
+
+def test_five_words_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 5000)
+    rng = random.Random(3)
+    long_ = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(30000)]
+    docs = corpus(rng) + [(9000, " ".join(long_), None), (9001, " ".join(long_[:500] + ["x"] + long_[500:]), None), (9002, " ".join(long_[:20000]), None)]
+    got = jaccard.joined(spark.createDataFrame(docs, DDL).repartition(3), n=5, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 80, 5)
+
+
+def test_blocks_skip_no_link():
+    """All pairs of a list whose sizes and places leave a link possible at their first common token, and no others."""
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        e = np.zeros(400, jaccard.ENTRY)
+        e["t"], e["n"], e["s"] = rng.integers(0, 25, 400), rng.integers(1, 80, 400), np.arange(400)
+        e["p"] = [rng.integers(0, n - -(-percent * n // 100) + 1) for n in e["n"].tolist()]
+        e = e[np.lexsort((e["s"], e["n"], e["t"]))]
+        want = set()
+        for i in range(400):
+            for j in range(i + 1, 400):
+                a, b = (tuple(int(x) for x in e[k]) for k in (i, j))
+                need = -(-percent * (a[2] + b[2]) // (100 + percent))
+                if a[0] == b[0] and need <= min(a[2] - a[3], b[2] - b[3]):
+                    want.add((i, j))
+        got = list(zip(*(x.tolist() for x in jaccard.list_pairs(e, percent))))
+        assert len(got) == len(set(got)) and set(got) == want
