@@ -402,17 +402,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differe
     return out
 
 
-def derived(star: DataFrame, percent: int, parts: int, block: int = 2048) -> DataFrame:
+def derived(star: DataFrame, percent: int, parts: int, block: int = 256) -> DataFrame:
     """a, b: links between sets near a pivot of which one or none is linked to it, from their differences.
 
     A set that reaches one linked to the pivot is joined to the pivot, which connects the same sets.
+    A task takes a block of those not linked and one of all: what is linked travels as often as there
+    are blocks that aren't.
     """
     near = star.where("near")
-    size = near.groupBy("x").agg(F.count(F.lit(1)).alias("m"), F.count(F.when(~F.col("linked"), 1)).alias("open")).where("open > 0").select("x", F.ceil(F.col("m") / block).cast("int").alias("g"))
-    rows = near.join(size, "x").withColumn("own", F.pmod(F.xxhash64("y"), F.col("g")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    size = near.groupBy("x").agg(F.count(F.lit(1)).alias("m"), F.count(F.when(~F.col("linked"), 1)).alias("open")).where("open > 0").select("x", F.ceil(F.col("open") / block).cast("int").alias("gz"), F.ceil(F.col("m") / block).cast("int").alias("gy"))
+    rows = near.join(size, "x")
+    mine = lambda g: F.pmod(F.xxhash64("y"), F.col(g)).cast("int")
+    each = lambda g: F.explode(F.sequence(F.lit(0), F.col(g) - 1))
     common = ["y", "nx", "ny", "linked", "lack", "more"]
-    z = rows.where("not linked").select("x", F.col("own").alias("zb"), F.col("other").alias("yb"), F.lit(True).alias("is_z"), *common)
-    y = rows.select("x", F.col("other").alias("zb"), F.col("own").alias("yb"), F.lit(False).alias("is_z"), *common)
+    z = rows.where("not linked").select("x", mine("gz").alias("zb"), each("gy").alias("yb"), F.lit(True).alias("is_z"), *common)
+    y = rows.select("x", each("gz").alias("zb"), mine("gy").alias("yb"), F.lit(False).alias("is_z"), *common)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in grouped(frames, ["x", "zb", "yb"]):

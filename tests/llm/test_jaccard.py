@@ -77,6 +77,14 @@ def test_frequent_cells_change_nothing(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs)
 
 
+def test_small_difference_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 1)
+    monkeypatch.setattr(jaccard.derived, "__defaults__", (5,))
+    docs = corpus(random.Random(7))
+    got = jaccard.joined(spark.createDataFrame(docs, DDL).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs)
+
+
 def test_five_words_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 5000)
     rng = random.Random(3)
