@@ -1,8 +1,13 @@
 """A training corpus from raw documents: five stages of the operators in lanemesh.llm.
 
 Each stage takes the whole table that its predecessor wrote and returns a DataFrame; all but the last
-return the columns of `documents`. Rows with a null doc_id go at the first stage: decisions are by
-document, and none can be made about them. Rows that repeat a doc_id and text are kept alike.
+return the columns of `documents`. Texts stay where they are: a stage decides by ids, hashes or the text
+itself and shuffles none of them.
+
+Defined cases: rows with a null doc_id go at the first stage, as links and windows are by document;
+null, empty and letterless texts go there as well; rows that repeat a doc_id and text are kept alike, and
+language is found row by row where one id has several texts; ties are settled by the smallest id; texts
+of any length are taken whole; an empty table passes all stages; further columns are dropped.
 """
 
 from __future__ import annotations
@@ -27,9 +32,8 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those that are in no learned language; the others' `lang` is the one found."""
-    found = language.identified(docs).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    found = found.groupBy("doc_id").agg(F.first("lang_pred").alias("lang_pred")).select(F.col("doc_id").alias("found_id"), "lang_pred")
-    kept = _documents(docs).join(found, F.col("doc_id") == F.col("found_id"))
+    found = language.identified(_documents(docs).where("doc_id is not null"), language.learned(docs), COLUMNS)
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
@@ -41,16 +45,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
-    found = jaccard.joined(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id = component_id").select(F.col("doc_id").alias("found_id")).distinct()
-    kept = _documents(docs).join(found, F.col("doc_id") == F.col("found_id"), "left_semi")
-    return kept.select(*COLUMNS)
+    gone = jaccard.joined(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return _documents(docs).join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, which may be never."""
-    times = mixing.mixed(docs).where("taken > 0").select(F.col("doc_id").alias("mixed_id"), F.expr("taken div size").cast("int").alias("times")).distinct()
-    joined = _documents(docs).join(times, F.col("doc_id") == F.col("mixed_id"))
-    return joined.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    return mixing.repeated(_documents(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
