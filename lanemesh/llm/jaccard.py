@@ -358,7 +358,7 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "x long, y long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, label: str, load: int = 2000) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, label: str, load: int = 256) -> DataFrame:
     """Written under `label`: x, y, nx, ny, linked, near of linked pairs; with `differences` of near pairs, and lack (x - y) and more (y - x).
 
     A set travels once for each pair it is the y of; x's with more than `load` pairs are spread over

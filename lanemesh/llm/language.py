@@ -36,7 +36,7 @@ from .suffixes import POWERS, TABLE, mix
 
 UNKNOWN = "und"
 GRAMS, LEXICON = 1 << 16, 1 << 16
-BLOCK_WORDS, BATCH_BYTES, PART_BYTES = 128, 8 << 20, 1 << 19
+BLOCK_WORDS, BATCH_BYTES, PART_BYTES = 128, 2 << 20, 1 << 19
 _LETTER = regex.compile(r"\p{L}")
 _letters = np.zeros(256, np.uint8)
 _letters[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)

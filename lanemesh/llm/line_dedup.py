@@ -12,14 +12,14 @@ Defined cases: lines are what `\n` separates, compared exactly; windows of three
 ignored; a document of one or two lines has no window and stays as it is; a null text stays null and
 an empty one empty; rows with a null doc_id stay as they are; rows that repeat a doc_id and text are
 one document and all come out alike; different texts of one doc_id are documents of their own, in the
-order of a hash of the text (`mark`); texts of any length are cut whole;
+order of a hash of the text (`mark`, 0 where no doc_id has several); texts of any length are cut whole;
 a document that loses all its lines comes out with an empty text (`drop_emptied` removes it); an empty
 table gives an empty one; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,9 +28,15 @@ from .common import dropped, materialized, spread_join
 WINDOW = 3
 
 
-def line_windows(docs: DataFrame) -> DataFrame:
+def mark_of(docs: DataFrame) -> Column:
+    """What tells the texts of one doc_id apart: nothing, in tables where each has one text."""
+    hashes = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
+    return F.lit(0).cast("long") if hashes.where("a <> b").isEmpty() else F.xxhash64("text")
+
+
+def line_windows(docs: DataFrame, mark: Column) -> DataFrame:
     """doc_id, mark, pos, h1, h2: a row for each window that has a line with a word."""
-    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), F.split("text", "\n", -1).alias("l")).where(F.size("l") >= WINDOW)
+    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", mark.alias("mark"), F.split("text", "\n", -1).alias("l")).where(F.size("l") >= WINDOW)
     hashed = lines.select(
         "doc_id", "mark",
         F.transform("l", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("second"), x).alias("b"), x.rlike(r"[^\x20\x09-\x0D]").alias("word"))).alias("l"),
@@ -48,9 +54,9 @@ def line_windows(docs: DataFrame) -> DataFrame:
     return hashed.select("doc_id", "mark", F.inline(windows)).where("word").drop("word")
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, mark: Column) -> DataFrame:
     """doc_id, mark, runs (written): sorted, disjoint structs (a, b) of first and last marked line."""
-    windows = materialized(line_windows(docs), "line-windows")
+    windows = materialized(line_windows(docs, mark), "line-windows")
     first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "mark", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = first.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first", "n")
     found = spread_join(windows, first, {"h1": "f1", "h2": "f2"}, "first", "n", windows.count(), F.struct("doc_id", "mark", "pos"))
@@ -69,11 +75,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 def line_deduped(docs: DataFrame, drop_emptied: bool = False, counts: bool = False) -> DataFrame:
     """`docs` with the repeated windows cut out of `text`; `counts` adds n_lines and n_removed."""
-    runs = repeated_runs(docs.select("doc_id", "text")).select(F.col("doc_id").alias("run_doc"), F.col("mark").alias("run_mark"), "runs")
+    mark = mark_of(docs.select("doc_id", "text"))
+    runs = repeated_runs(docs.select("doc_id", "text"), mark).select(F.col("doc_id").alias("run_doc"), F.col("mark").alias("run_mark"), "runs")
     # Columns go by their places meanwhile, so no name of theirs can clash.
     rows = docs.toDF(*(f"d{k}" for k in range(len(docs.columns))))
     doc_id, text = (f"d{docs.columns.index(c)}" for c in ("doc_id", "text"))
-    joined = rows.join(runs, (F.col(doc_id) == F.col("run_doc")) & (F.xxhash64(text) == F.col("run_mark")), "left").withColumn("lines", F.split(text, "\n", -1))
+    joined = rows.withColumn("text", F.col(text)).withColumn("mark", mark).join(runs, (F.col(doc_id) == F.col("run_doc")) & (F.col("mark") == F.col("run_mark")), "left").withColumn("lines", F.split(text, "\n", -1))
     n = F.size("lines")
     gap = lambda i: F.struct(  # noqa: E731  the lines between run i - 1 and run i
         F.when(i == 0, F.lit(0)).otherwise(F.try_element_at("runs", F.greatest(i, F.lit(1)).cast("int"))["b"] + 1).alias("a"),
