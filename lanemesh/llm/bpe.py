@@ -27,8 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Pieces kept with their ids by each worker, and the longest piece kept.
-CACHED_PIECES, CACHED_LENGTH = 400_000, 48
+CACHED_PIECES, CACHED_LENGTH = 100_000, 48
 #: Texts above this many characters are cut into pieces a block at a time.
 BLOCK_TEXT, BLOCK_PIECES = 2_000_000, 200_000
 
@@ -229,6 +231,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kee
     One pass without a shuffle. The ranks are the only broadcast: their number is that of the
     vocabulary, whatever the input.
     """
+    small_batches(docs.sparkSession)
     shipped, key = docs.sparkSession.sparkContext.broadcast(ranks), (digest_of(ranks), pattern)
     kept = ["lang", "source"] if keep_ids else []
     schema = pa.schema([("doc_id", pa.int64()), *((k, pa.string()) for k in kept), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])])

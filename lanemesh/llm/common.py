@@ -62,6 +62,13 @@ def dropped(*frames: DataFrame) -> None:
         files.delete(at, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python get at most so many texts at a time, in this session: Spark's 10,000 are 40 MB and more, several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

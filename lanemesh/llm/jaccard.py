@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, grouped, materialized, spread_join, text_or_empty
+from .common import dropped, grouped, materialized, small_batches, spread_join, text_or_empty
 from .graph import components
 from .suffixes import POWERS, TABLE, _packed, _unpacked, mix
 
@@ -502,6 +502,7 @@ def near_enough(percent: int) -> Column:
 def joined(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of `docs`."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     found = materialized(described(rows, n), "jaccard-sets")
     sets = found.where("chunk is null").select("doc_id", "n", "sid")

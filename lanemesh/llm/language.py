@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
 from .suffixes import POWERS, TABLE, mix
 
 UNKNOWN = "und"
@@ -354,6 +355,7 @@ def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_word
 
 def identified(docs: DataFrame, model: Model | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of `docs`; with `columns` these in place of the first two."""
+    small_batches(docs.sparkSession)
     model = model or learned(docs)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialized
+from .common import materialized, small_batches
 
 BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 RUN = 5
@@ -66,6 +66,7 @@ def measured(docs: DataFrame) -> DataFrame:
             cols = [pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "lang", "source")] + cols, names=["doc_id", "lang", "source", *names])
 
+    small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("lang", "source", "text")))
     return source.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{n} long" for n in names))
 

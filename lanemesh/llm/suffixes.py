@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import dropped, materialized, spread_join, text_or_empty
+from .common import dropped, materialized, small_batches, spread_join, text_or_empty
 
 K = 36
 #: Text handled at a time by a task of step 1; bytes hashed at a time; text bytes a task of steps 1 and 3.
@@ -547,6 +547,7 @@ def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left, with `texts`; null where nothing went)."""
     spark = docs.sparkSession
+    small_batches(spark)
     made_up = -1 - F.conv(F.substring(F.sha2(text_or_empty(), 256), 1, 15), 16, 10).cast("long")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), made_up).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), text_or_empty().alias("text"))
     described = materialized(rows.select("doc_id", "no_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import removed_at_exit, shared_dir, spread_join
+from .common import removed_at_exit, shared_dir, small_batches, spread_join
 
 #: Bytes after which an archive file ends, so that it fits in a task's memory; and of records that a reader hands on at once.
 ARCHIVE_BYTES, BATCH_BYTES = 32 << 20, 8 << 20
@@ -107,6 +107,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(numbers, pa.int32())], names=["value", "archive"])
 
+    small_batches(pages.sparkSession)
     texts = with_references(pages, least_bytes).mapInArrow(run, "value string, archive int")
     texts.write.partitionBy("archive").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
