@@ -77,20 +77,20 @@ def spread_join(big: DataFrame, small: DataFrame, on: dict[str, str], value: str
     """`big` with `value` of the row of `small` that has its key, null without one.
 
     small: a row a key, and in `copies` how many rows of `big` have it. `rows`: how many `big` has,
-    about. The rows of hot keys (fewer than HOT_SHARE keys, so these are broadcast) are matched first
-    and then dealt by `spread` instead of their key, so no key puts its rows into one task.
+    about. Only hot keys, fewer than HOT_SHARE whatever the input, are salted: `spread` deals their rows
+    to as many parts as there are shuffle partitions, and their rows of `small` go to all of these.
     """
-    is_hot = F.col(copies) * HOT_SHARE > F.lit(rows)
-    both = lambda prefix: reduce(Column.__and__, (F.col(b) == F.col(f"{prefix}{s}") for b, s in on.items()))
-    side = lambda prefix: [F.col(s).alias(f"{prefix}{s}") for s in on.values()] + [F.col(value).alias(f"{prefix}value")]
-    hot = small.where(is_hot).select(*side("hot__"))
-    # Zero, but not a constant, which would be taken out of the join's keys.
-    zero = F.pmod(F.xxhash64(f"cold__{next(iter(on.values()))}"), F.lit(1)).alias("cold__salt")
-    cold = small.where(~is_hot).select(*side("cold__")).select("*", zero)
-    out = big.join(F.broadcast(hot), both("hot__"), "left")
-    out = out.withColumn("hot__salt", F.when(F.col("hot__value").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(1 << 30)) + 1).otherwise(0))
-    out = out.join(cold, both("cold__") & (F.col("hot__salt") == F.col("cold__salt")), "left")
-    return out.select(*(F.col(f"`{c}`") for c in big.columns), F.coalesce("hot__value", "cold__value").alias(value))
+    mine, theirs = ([F.col(c) for c in side] for side in (on.keys(), on.values()))
+    hot = [r[0] for r in small.where(F.col(copies) * HOT_SHARE > F.lit(rows)).select(F.xxhash64(*theirs)).collect()]
+    own = small.select(*(F.col(s).alias(f"own__{s}") for s in on.values()), F.col(value).alias("own__value"), F.xxhash64(*theirs).alias("own__hash"))
+    match = reduce(Column.__and__, (F.col(b) == F.col(f"own__{s}") for b, s in on.items()))
+    out = big
+    if hot:
+        parts = max(2, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        own = own.withColumn("own__salt", F.explode(F.when(F.col("own__hash").isin(hot), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))))
+        out = big.withColumn("big__salt", F.when(F.xxhash64(*mine).isin(hot), F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")).otherwise(0))
+        match = match & (F.col("big__salt") == F.col("own__salt"))
+    return out.join(own, match, "left").select(*(F.col(f"`{c}`") for c in big.columns), F.col("own__value").alias(value))
 
 
 def grouped(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

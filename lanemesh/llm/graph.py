@@ -29,9 +29,10 @@ def components(edges: DataFrame, label: str = "components", most_rounds: int = 6
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_min(both, "u", "v", rows).select("v", F.least("m", "u").alias("m"), "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialized(large, label)
         small = _with_min(large, "u", "v", rows)
         step = materialized(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), label)
-        dropped(e)
+        dropped(e, large)
         e = step
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

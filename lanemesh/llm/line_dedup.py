@@ -5,8 +5,8 @@ occur more than once anywhere keep their first occurrence, by (doc_id, mark, lin
 its three lines. Marked windows of a document are merged into runs of lines, which are cut out.
 
 Only the hashes and positions are shuffled for the search. First occurrences are found by a
-combinable minimum, and windows that a thousandth of all rows have are joined back to their positions
-by a broadcast of less than a thousand rows, so that no window puts its rows into one task.
+combinable minimum; windows that a thousandth of all rows have are salted for the join back to their
+positions, so that no window puts its rows into one task.
 
 Defined cases: lines are what `\n` separates, compared exactly; windows of three blank lines are
 ignored; a document of one or two lines has no window and stays as it is; a null text stays null and

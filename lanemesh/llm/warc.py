@@ -71,7 +71,7 @@ def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html, refers_to: equal payloads refer to the smallest page id.
 
     Only digests that occur more than once enter the join. A payload that a thousandth of all pages
-    have is matched by broadcast, so its pages don't meet in one task.
+    have is salted, so its pages don't meet in one task.
     """
     hex_sha1 = F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
