@@ -130,6 +130,34 @@ def tile_of(p: Column, zoom: int = 12) -> Column:
     return F.concat_ws("-", F.lit(str(zoom)), x.cast("string"), y.cast("string"))
 
 
+def tiles_of(line: Column, zoom: int = 12) -> Column:
+    """The Web-Mercator tiles that a line passes through, as `z-x-y`, each once.
+
+    Between the places where a step crosses the grid it is in one tile, which its middle there tells.
+    """
+    n = float(1 << zoom)
+
+    def placed(p: Column) -> Column:
+        lat = F.radians(p["lat"])
+        return F.struct(((p["lon"] + 180) / 360 * n).alias("x"), ((1 - F.log(F.tan(lat) + 1 / F.cos(lat)) / math.pi) / 2 * n).alias("y"))
+
+    def crossings(a: Column, b: Column) -> Column:
+        low, high = F.ceil(F.least(a, b)), F.floor(F.greatest(a, b))
+        at = F.transform(F.sequence(low, F.greatest(low, high)), lambda k: (k - a) / F.nullif(b - a, F.lit(0.0)))
+        return F.when((low <= high) & (a != b), at).otherwise(F.array().cast("array<double>"))
+
+    def of_step(s: Column) -> Column:
+        a, b = s["a"], s["b"]
+        cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), crossings(a["x"], b["x"]), crossings(a["y"], b["y"])))
+        middles = let(cuts, lambda c: F.transform(F.filter(F.arrays_zip(c.alias("t"), F.slice(c, 2, F.size(c)).alias("u")), lambda z: z["t"] < z["u"]), lambda z: (z["t"] + z["u"]) / 2))
+        name = lambda x, y: F.concat_ws("-", F.lit(str(zoom)), F.floor(x).cast("string"), F.floor(y).cast("string"))
+        return F.concat(F.array(name(a["x"], a["y"]), name(b["x"], b["y"])), F.transform(middles, lambda t: name(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"]))))
+
+    grid = F.transform(line, placed)
+    steps = lambda g: F.arrays_zip(g.alias("a"), F.slice(g, 2, F.size(g)).alias("b"))
+    return let(grid, lambda g: F.array_distinct(F.flatten(F.transform(F.filter(steps(g), lambda s: s["b"].isNotNull()), of_step))))
+
+
 def in_ring(p: Column, ring: Column) -> Column:
     """Ray casting: does a ray eastward cross the ring an odd number of times?"""
     n = F.size(ring)
@@ -139,8 +167,37 @@ def in_ring(p: Column, ring: Column) -> Column:
     return F.size(F.filter(ring, cross)) % 2 == 1
 
 
+def crosses(line: Column, ring: Column) -> Column:
+    """Does a step of the line cut through a side of the ring?"""
+    side = lambda a, b, p: F.signum((b["lon"] - a["lon"]) * (p["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (p["lon"] - a["lon"]))
+    n = F.size(ring)
+
+    def cut(a: Column, b: Column) -> Column:
+        def by(p: Column, i: Column) -> Column:
+            q = F.element_at(ring, ((i + 1) % n + 1).cast("int"))
+            return (side(a, b, p) * side(a, b, q) < 0) & (side(p, q, a) * side(p, q, b) < 0)
+
+        return F.size(F.filter(ring, by)) > 0
+
+    steps = F.arrays_zip(F.slice(line, 1, F.greatest(F.size(line) - 1, F.lit(0))).alias("a"), F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(0))).alias("b"))
+    return F.exists(steps, lambda s: cut(s["a"], s["b"]))
+
+
 def within(line: Column, ring: Column) -> Column:
-    """All points of the line inside the ring; the boxes are compared first."""
+    """The whole line inside the ring: its points, and no step through a side. The boxes are compared first."""
     a, b = bbox(line), bbox(ring)
     inside = (a["west"] >= b["west"]) & (a["east"] <= b["east"]) & (a["south"] >= b["south"]) & (a["north"] <= b["north"])
-    return inside & F.forall(line, lambda p: in_ring(p, ring))
+    return inside & F.forall(line, lambda p: in_ring(p, ring)) & ~crosses(line, ring)
+
+
+def within_area(line: Column, area: list[list[list[tuple[float, float]]]]) -> Column:
+    """The line inside one of the area's parts, each a ring and the rings of its holes."""
+    rings = lambda part: [F.array(*(point(F.lit(x), F.lit(y)) for x, y in r)) for r in part]
+    found = F.lit(False)
+    for part in area:
+        outer, *holes = rings(part)
+        clear = within(line, outer)
+        for hole in holes:
+            clear = clear & ~F.exists(line, lambda p, hole=hole: in_ring(p, hole)) & ~crosses(line, hole)
+        found = found | clear
+    return found

@@ -1,15 +1,16 @@
 """Chains of network edges.
 
 Edges: feature keys, edge_id, from_node, to_node and an ordinal that fixes their order. A group is the
-edges of one road feature; `sorted_chains` walks each group on its own. Edges that could begin a chain
-and parallel edges are found by joins and windows.
+edges of one road feature; `sorted_chains` walks each group on its own, many groups a task. Edges that
+could begin a chain and parallel edges are found by joins and windows, as is whether a group forms chains.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,6 +58,13 @@ def source_status(edges: DataFrame, keys: list[str], most: int) -> DataFrame:
     return edges.select(*keys).distinct().join(counts, keys, "left").select(*keys, n.alias("n_sources"), error.alias("error"))
 
 
+def forms_chains(edges: DataFrame, keys: list[str], most: int = 2) -> DataFrame:
+    """keys, ok: a single edge is a chain, more need between one and `most` sources."""
+    counts = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_edges"))
+    joined = counts.join(source_status(edges, keys, most), keys)
+    return joined.select(*keys, ((F.col("n_edges") == 1) | F.col("error").isNull()).alias("ok"))
+
+
 @dataclass(frozen=True)
 class Edge:
     id: object
@@ -70,17 +78,33 @@ class Edge:
         return self.b == other.a and self.id != other.id
 
 
-def grow(edges: list[Edge], starts: list[Edge]) -> list[list[Edge]]:
-    """Chains from each start, in the order they come up: of several ways on the last is followed, the others fork off."""
+def starts_of(edges: list[Edge]) -> list[Edge]:
+    """Edges into which no other one leads; an edge's opposite doesn't count."""
+    into: dict[object, list[Edge]] = {}
+    for e in edges:
+        into.setdefault(e.b, []).append(e)
+    return [e for e in edges if not any(o.id != e.id and not o.opposes(e) for o in into.get(e.a, ()))]
+
+
+def grow(edges: list[Edge], starts: list[Edge], most: int | None = None) -> list[list[Edge]]:
+    """Chains from each start, in the order they come up: of several ways on the last is followed, the others fork off.
+
+    Ends early with more than `most` chains, which forks only make more.
+    """
+    out: dict[object, list[Edge]] = {}
+    for e in edges:
+        out.setdefault(e.a, []).append(e)
     chains, done = [[s] for s in starts], 0
-    while done < len(chains):
+    while done < len(chains) and (most is None or len(chains) <= most):
         chain = chains[done]
-        while True:
-            on = [e for e in edges if chain[-1].leads_to(e) and not any(e.id == c.id or e.opposes(c) for c in chain)]
-            if not on:
-                break
+        ids, ends = {c.id for c in chain}, {(c.b, c.a) for c in chain}
+        while on := [e for e in out.get(chain[-1].b, ()) if e.id not in ids and (e.a, e.b) not in ends]:
             chains += [[*chain, e] for e in on[:-1]]
             chain.append(on[-1])
+            ids.add(on[-1].id)
+            ends.add((on[-1].b, on[-1].a))
+            if most is not None and len(chains) > most:
+                break
         done += 1
     return chains
 
@@ -93,13 +117,13 @@ def within_chain(short: list[Edge], long: list[Edge]) -> bool:
 
 def sort_edges(edges: list[Edge], both_ways: bool) -> tuple[list[list[Edge]], str | None]:
     """Chains and no error, or no chains and an error. One-way features make one chain, two-way ones up to two."""
-    starts = [e for e in edges if not any(o.leads_to(e) and not o.opposes(e) for o in edges)]
+    starts = starts_of(edges)
     most = 2 if both_ways else 1
     if not starts:
         return [], NO_SOURCE
     if len(starts) > most:
         return [], MANY_SOURCES_2 if both_ways else MANY_SOURCES_1
-    chains = grow(edges, starts)
+    chains = grow(edges, starts, most)
     if len(chains) > most:
         return [], MANY_CHAINS_2 if both_ways else MANY_CHAINS_1
     chains.sort(key=len)
@@ -110,7 +134,7 @@ def reference_chains(edges: list[Edge]) -> tuple[list[list[Edge]], str | None]:
     """All chains, those within others too; a single edge is one as it is."""
     if len(edges) == 1:
         return [edges], None
-    starts = [e for e in edges if not any(o.leads_to(e) and not o.opposes(e) for o in edges)]
+    starts = starts_of(edges)
     if not starts:
         return [], NO_SOURCE
     return ([], MANY_SOURCES_2) if len(starts) > 2 else (grow(edges, starts), None)
@@ -121,15 +145,37 @@ def sorted_chains(edges: DataFrame, keys: list[str], both_ways: bool, all_chains
     kinds = ", ".join(f"{k} {edges.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, chain int, idx int, edge_id string, chain_length int, error string"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal", kind="stable")
-        own = [Edge(*x) for x in zip(pdf["edge_id"].astype(str), pdf["from_node"], pdf["to_node"])]
-        found, error = reference_chains(own) if all_chains else sort_edges(own, both_ways)
-        head = tuple(pdf[k].iloc[0] for k in keys)
-        rows = [(*head, c, i, e.id, len(chain), None) for c, chain in enumerate(found) for i, e in enumerate(chain)] or [(*head, None, None, None, None, error)]
-        return pd.DataFrame(rows, columns=[*keys, "chain", "idx", "edge_id", "chain_length", "error"]).astype({"chain": "Int32", "idx": "Int32", "chain_length": "Int32"})
+    width = len(keys)
 
-    return edges.select(*keys, "edge_id", "from_node", "to_node", "ordinal").groupBy(*keys).applyInPandas(run, schema)
+    def solved(group: list[tuple]) -> list[tuple]:
+        own = [Edge(*x[width:]) for x in group]
+        found, error = reference_chains(own) if all_chains else sort_edges(own, both_ways)
+        head = group[0][:width]
+        return [(*head, c, i, e.id, len(chain), None) for c, chain in enumerate(found) for i, e in enumerate(chain)] or [(*head, None, None, None, None, error)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, out, kinds_of = [], [], None
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds_of)], names=[*keys, "chain", "idx", "edge_id", "chain_length", "error"])
+
+        for batch in batches:
+            kinds_of = [*(batch.schema.field(k).type for k in range(width)), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string()]
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and row[:width] != group[0][:width]:
+                    out += solved(group)
+                    group = []
+                    if len(out) >= 10_000:
+                        yield batch_of(out)
+                        out = []
+                group.append(row)
+        if group:
+            out += solved(group)
+        if out:
+            yield batch_of(out)
+
+    dealt = edges.select(*keys, F.col("edge_id").cast("string"), "from_node", "to_node", "ordinal").repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, F.col("ordinal").asc_nulls_last()).drop("ordinal").mapInArrow(run, schema)
 
 
 def simple_chains_sql(edges_view: str) -> str:

@@ -70,12 +70,15 @@ def inverted(df: DataFrame, owner: str, item: str, position: str) -> DataFrame:
     return per.groupBy(item).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(owner, "positions")))).alias("owners"))
 
 
-def patched(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
-    """A merge patch by key: a patch's values win, its nulls change nothing, unknown keys are left out."""
-    names = [c for c in patch.columns if c != key]
-    p = patch.select(F.col(key).alias("__key"), *(F.col(c).alias(f"__{c}") for c in names))
+def patched(base: DataFrame, patch: DataFrame, key: str, stated: str | None = None) -> DataFrame:
+    """A merge patch by key: what a patch states wins, a null that it states deletes, unknown keys are left out.
+
+    stated: a column of `patch` with the names of the columns that it states; without one, all of them.
+    """
+    names = [c for c in patch.columns if c not in (key, stated)]
+    p = patch.select(F.col(key).alias("__key"), *(F.col(c).alias(f"__{c}") for c in names), (F.col(stated) if stated else F.array(*map(F.lit, names))).alias("__stated"))
     joined = base.join(p, F.col(key) == F.col("__key"), "left")
-    value = lambda c: F.coalesce(f"__{c}", c) if c in names else F.col(c)
+    value = lambda c: F.when(F.array_contains("__stated", c), F.col(f"__{c}")).otherwise(F.col(c)) if c in names else F.col(c)
     return joined.select(*(value(c).alias(c) for c in base.columns), *(F.col(f"__{c}").alias(c) for c in names if c not in base.columns))
 
 

@@ -2,15 +2,20 @@
 
 Tables: references (reference_id, geometry, node_ids, way_sections, length_km, vertices) and matches
 (reference_id, ..., geometry). Everything is an expression over one row, so nothing is shuffled but
-for the join of matches to references on the reference id.
+for the join of matches to references on the reference id. Distances along all lines of a batch are
+running sums of one Arrow function, in proportion to their vertices.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..constants import LENGTH_RATIO, SPLIT_BUFFER_KM
+from ..constants import EARTH_KM, LENGTH_RATIO, SPLIT_BUFFER_KM
 from ..functions import geodesy as geo
 from ..functions import scalars
 
@@ -22,6 +27,25 @@ def cumulative(lengths: Column) -> Column:
     return F.aggregate(lengths, F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
 
 
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def distances_along(lines: pa.Array) -> pa.Array:
+    """For each point of each line its distance from the line's first point, in km."""
+    sizes = pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(lines)
+    lon, lat = (np.radians(pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.float64)) for c in ("lon", "lat"))
+    step = np.zeros(len(flat))
+    if len(flat) > 1:
+        h = np.sin((lat[1:] - lat[:-1]) / 2) ** 2 + np.sin((lon[1:] - lon[:-1]) / 2) ** 2 * np.cos(lat[:-1]) * np.cos(lat[1:])
+        step[1:] = 2 * EARTH_KM * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    step[begin[sizes > 0]] = 0.0
+    along = np.empty(len(flat))
+    for a, b in zip(begin[sizes > 0].tolist(), ends[sizes > 0].tolist()):
+        np.cumsum(step[a:b], out=along[a:b])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(along), mask=pc.is_null(lines) if lines.null_count else None)
+
+
 def distinct_vertices(line: Column) -> Column:
     return scalars.deduped_neighbours(line)
 
@@ -30,20 +54,17 @@ def with_vertices(references: DataFrame) -> DataFrame:
     """Adds node_ids, length_km and vertices; these are null where the numbers of nodes and vertices differ.
 
     The node of a vertex is the one at its place before adjacent duplicates were dropped. The last
-    vertex gets the line's length itself. One fold over the points does it all.
+    vertex gets the line's length itself.
     """
     df = references.withColumn("node_ids", scalars.node_sequence(F.col("way_sections"))).withColumn("length_km", geo.length_km(F.col("geometry")))
-    kind = "struct<n:int,at:double,v:array<struct<lon:double,lat:double,i:int,poff:double>>>"
-    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("at"), F.array().alias("v")).cast(kind)
+    df = df.withColumn("__along", distances_along(F.transform("geometry", lambda p: geo.point(p["lon"], p["lat"]))))
 
-    def step(acc: Column, p: Column) -> Column:
-        before = F.try_element_at(acc["v"], F.lit(-1))
-        new = before.isNull() | (before["lon"] != p["lon"]) | (before["lat"] != p["lat"])
-        at = acc["at"] + F.when(before.isNull(), 0.0).otherwise(geo.distance_km(before, p))
-        one = F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), acc["n"].alias("i"), at.alias("poff"))
-        return F.struct((acc["n"] + 1).alias("n"), at.alias("at"), F.when(new, F.concat(acc["v"], F.array(one))).otherwise(acc["v"]).alias("v")).cast(kind)
+    def numbered(x: Column) -> Column:
+        every = F.transform(x["line"], lambda p, i: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), i.alias("i"), F.element_at(x["along"], i + 1).alias("poff")))
+        before = lambda i: F.try_element_at(x["line"], F.greatest(i, F.lit(1)).cast("int"))
+        return F.filter(every, lambda p, i: (i == 0) | (before(i)["lon"] != p["lon"]) | (before(i)["lat"] != p["lat"]))
 
-    folded = F.aggregate("geometry", start, step)["v"]
+    kept = geo.let(F.struct(F.col("geometry").alias("line"), F.col("__along").alias("along")), numbered)
 
     def finished(x: Column) -> Column:
         last = F.size(x["v"]) - 1
@@ -54,7 +75,7 @@ def with_vertices(references: DataFrame) -> DataFrame:
 
         return F.when(x["nodes"].isNotNull() & (F.size(x["nodes"]) == F.size(x["v"])), F.transform(x["v"], vertex))
 
-    return df.withColumn("vertices", geo.let(F.struct(folded.alias("v"), F.col("length_km").alias("total"), F.col("node_ids").alias("nodes")), finished))
+    return df.withColumn("vertices", geo.let(F.struct(kept.alias("v"), F.col("length_km").alias("total"), F.col("node_ids").alias("nodes")), finished)).drop("__along")
 
 
 def measured(line: Column) -> Column:

@@ -29,6 +29,6 @@ def lengths_summary(by_feature: DataFrame, most: float = QA_RATIO) -> DataFrame:
 def chain_success(matches: DataFrame, target_map: str) -> DataFrame:
     """One row, success_ratio: of all matched ids, those whose pieces in `target_map` make chains."""
     ids = matches.select("target_map_id").distinct()
-    own = matches.where(F.col("target_map") == target_map).select("target_map_id", F.col("reference_id").alias("edge_id"), "from_node", "to_node", F.xxhash64("reference_id", "from_node", "to_node").alias("ordinal"))
-    good = chains.sorted_chains(own, ["target_map_id"], both_ways=True, all_chains=True).where("error is null").select("target_map_id").distinct()
-    return ids.join(good.withColumn("ok", F.lit(1)), "target_map_id", "left").agg(F.avg(F.coalesce("ok", F.lit(0))).alias("success_ratio"))
+    own = matches.where(F.col("target_map") == target_map).select("target_map_id", F.col("reference_id").alias("edge_id"), "from_node", "to_node")
+    good = chains.forms_chains(own, ["target_map_id"])
+    return ids.join(good, "target_map_id", "left").agg(F.avg(F.coalesce(F.col("ok").cast("int"), F.lit(0))).alias("success_ratio"))

@@ -34,15 +34,14 @@ def reference_candidates(geometries: DataFrame, metadata: DataFrame, references:
     ).where(F.size("geometry") >= 2)
 
 
-def reference_features(geometries: DataFrame, metadata: DataFrame, references: DataFrame, ring: list[tuple[float, float]] | None = None, compat: bool = True) -> DataFrame:
+def reference_features(geometries: DataFrame, metadata: DataFrame, references: DataFrame, area: list[list[list[tuple[float, float]]]] | None = None, compat: bool = True) -> DataFrame:
     """One reference a row, of several candidates the chosen one, with direction, nodes, length and vertices.
 
-    ring: a polygon (lon, lat); references not within it are left out.
+    area: parts of rings (lon, lat), as `readers.area` gives them; references not within one of the parts are left out.
     """
     df = reference_candidates(geometries, metadata, references)
-    if ring:
-        bound = F.array(*(geo.point(F.lit(x), F.lit(y)) for x, y in ring))
-        df = df.where(geo.within(F.col("geometry"), bound))
+    if area:
+        df = df.where(geo.within_area(F.col("geometry"), area))
     df = df.withColumn("n_vertices", F.size("geometry"))
     fields = [c for c in df.columns if c not in ("reference_id", "n_vertices")]
     chosen = grouping.selected_candidates(df.select("reference_id", "geometry_id", "reversed", "n_vertices", F.struct(*fields).alias("candidate")), "reference_id", "geometry_id")

@@ -225,9 +225,15 @@ def osm_way_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("reference_id").alias("vec_id"), "target_map_id", F.round("start_dist", 5).alias("start_dist"), F.round("end_dist", 5).alias("end_dist"))
 
 
-@query(f"""WITH {F1} SELECT c_custkey, '12-' || floor((ax + 180) / 360 * 4096)::BIGINT || '-' || floor((1 - ln(tan(radians(ay)) + 1 / cos(radians(ay))) / pi()) / 2 * 4096)::BIGINT AS tile FROM p""")
+@query(f"""WITH {F1}, g AS (SELECT c_custkey, (ax + 180) / 360 * 4096 AS xa, (1 - ln(tan(radians(ay)) + 1 / cos(radians(ay))) / pi()) / 2 * 4096 AS ya, (bx + 180) / 360 * 4096 AS xb, (1 - ln(tan(radians(by_)) + 1 / cos(radians(by_))) / pi()) / 2 * 4096 AS yb FROM p),
+t AS (SELECT c_custkey, unnest([0.0::DOUBLE, 1.0]) AS t FROM g
+  UNION ALL SELECT c_custkey, (k - xa) / (xb - xa) FROM (SELECT *, unnest(range(ceil(least(xa, xb))::BIGINT, floor(greatest(xa, xb))::BIGINT + 1)) AS k FROM g WHERE xa <> xb)
+  UNION ALL SELECT c_custkey, (k - ya) / (yb - ya) FROM (SELECT *, unnest(range(ceil(least(ya, yb))::BIGINT, floor(greatest(ya, yb))::BIGINT + 1)) AS k FROM g WHERE ya <> yb)),
+m AS (SELECT c_custkey, t, lead(t) OVER (PARTITION BY c_custkey ORDER BY t) AS u FROM t)
+SELECT DISTINCT c_custkey, '12-' || floor(xa + (t + u) / 2 * (xb - xa))::BIGINT || '-' || floor(ya + (t + u) / 2 * (yb - ya))::BIGINT AS tile FROM m JOIN g USING (c_custkey) WHERE t < u""")
 def tile_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.points(spark, sf_dir).select("c_custkey", geo.tile_of(F.col("a")).alias("tile"))
+    """All tiles that the line from a to b passes through."""
+    return fx.points(spark, sf_dir).select("c_custkey", F.explode(geo.tiles_of(F.array("a", "b"))).alias("tile"))
 
 
 RING = [(-78.0, 41.0), (-73.5, 41.5), (-74.0, 44.5), (-76.0, 42.5), (-78.5, 44.0)]
@@ -235,8 +241,10 @@ _EDGES = ", ".join(f"({a[0]}, {a[1]}, {b[0]}, {b[1]})" for a, b in zip(RING, RIN
 
 
 @query(f"""WITH {F1}, ring(x1, y1, x2, y2) AS (VALUES {_EDGES}), q AS (SELECT c_custkey, ax AS x, ay AS y FROM p UNION ALL SELECT c_custkey, bx, by_ FROM p),
-n AS (SELECT c_custkey, x, y, count(*) FILTER (WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (CASE WHEN y2 = y1 THEN NULL ELSE y2 - y1 END) + x1) AS n FROM q, ring GROUP BY ALL)
-SELECT c_custkey, bool_and(n % 2 = 1) AS inside FROM n GROUP BY c_custkey""")
+n AS (SELECT c_custkey, x, y, count(*) FILTER (WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (CASE WHEN y2 = y1 THEN NULL ELSE y2 - y1 END) + x1) AS n FROM q, ring GROUP BY ALL),
+c AS (SELECT c_custkey, bool_or(sign((bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax)) * sign((bx - ax) * (y2 - ay) - (by_ - ay) * (x2 - ax)) < 0
+    AND sign((x2 - x1) * (ay - y1) - (y2 - y1) * (ax - x1)) * sign((x2 - x1) * (by_ - y1) - (y2 - y1) * (bx - x1)) < 0) AS cut FROM p, ring GROUP BY c_custkey)
+SELECT n.c_custkey, bool_and(n % 2 = 1) AND NOT any_value(cut) AS inside FROM n JOIN c ON c.c_custkey = n.c_custkey GROUP BY n.c_custkey""")
 def within_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = F.array(*(geo.point(F.lit(x), F.lit(y)) for x, y in RING))
     return fx.points(spark, sf_dir).select("c_custkey", geo.within(F.array("a", "b"), ring).alias("inside"))
@@ -411,10 +419,16 @@ def modal_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.modal(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linenumber", "direction")
 
 
-@query("""SELECT p_partkey, coalesce(b.v, p_size) AS p_size, p_brand, b.extra FROM part LEFT JOIN (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 1000 + s_nationkey END AS v, s_name AS extra FROM supplier) b ON p_partkey = b.k""")
+@query("""WITH p AS (SELECT p_partkey, json_object('p_size', p_size, 'p_brand', p_brand) AS j FROM part),
+s AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN json_object('extra', s_name) ELSE json_object('p_size', CASE WHEN s_suppkey % 2 = 0 THEN 1000 + s_nationkey END, 'extra', s_name) END AS j FROM supplier),
+m AS (SELECT p_partkey, json_merge_patch(p.j, coalesce(s.j, '{}'::JSON)) AS j FROM p LEFT JOIN s ON p_partkey = k)
+SELECT p_partkey, (j->>'p_size')::BIGINT AS p_size, j->>'p_brand' AS p_brand, j->>'extra' AS extra FROM m""")
 def merge_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    patch = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("p_partkey"), F.when(F.col("s_suppkey") % 2 == 0, 1000 + F.col("s_nationkey")).alias("p_size"), F.col("s_name").alias("extra"))
-    return grouping.patched(fx.table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand"), patch, "p_partkey")
+    """Some patches don't state a size, some state a null, which deletes it."""
+    size = F.when(F.col("s_suppkey") % 2 == 0, 1000 + F.col("s_nationkey"))
+    stated = F.when(F.col("s_suppkey") % 3 == 0, F.array(F.lit("extra"))).otherwise(F.array(F.lit("p_size"), F.lit("extra")))
+    patch = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("p_partkey"), size.alias("p_size"), F.col("s_name").alias("extra"), stated.alias("stated"))
+    return grouping.patched(fx.table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("long").alias("p_size"), "p_brand"), patch, "p_partkey", "stated")
 
 
 @query("SELECT l_orderkey, l_partkey, min(l_suppkey) AS l_suppkey, arg_min(l_quantity, l_suppkey * 100 + l_linenumber) AS l_quantity FROM lineitem GROUP BY l_orderkey, l_partkey")

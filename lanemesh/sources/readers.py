@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,16 @@ def feature_collection(spark: SparkSession, path: str, feature: str) -> DataFram
     return spark.read.schema(f"type string, features array<struct<{feature}>>").option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
 
 
+def area(spark: SparkSession, path: str) -> list[list[list[tuple[float, float]]]]:
+    """Parts, each a list of rings without their closing point, of one GeoJSON Polygon or MultiPolygon, or a Feature of it."""
+    found = json.loads(spark.read.option("wholetext", True).text(path).first()[0])
+    found = found.get("geometry", found)
+    if found["type"] not in ("Polygon", "MultiPolygon"):
+        raise ValueError(f"not an area: {found['type']}")
+    parts = [found["coordinates"]] if found["type"] == "Polygon" else found["coordinates"]
+    return [[[(p[0], p[1]) for p in (ring[:-1] if ring[0] == ring[-1] else ring)] for ring in part] for part in parts]
+
+
 def county_lookup(spark: SparkSession) -> DataFrame:
     """county, county_code, region_code: 62 rows, so safe to broadcast."""
     return spark.createDataFrame(constants.counties(), "county string, county_code string, region_code string")
@@ -88,7 +100,7 @@ def tiles(spark: SparkSession, path: str, kind: str, loaded: DataFrame | None =
 
 def missing_tiles(lines: DataFrame, have: DataFrame, zoom: int = 12) -> DataFrame:
     """tile_id of tiles that lines pass through and that `have` (tile_id) lacks."""
-    seen = lines.select(F.explode("geometry").alias("p")).select(geo.tile_of(F.col("p"), zoom).alias("tile_id")).distinct()
+    seen = lines.select(F.explode(geo.tiles_of(F.col("geometry"), zoom)).alias("tile_id")).distinct()
     return seen.join(have.select("tile_id").distinct(), "tile_id", "left_anti")
 
 
