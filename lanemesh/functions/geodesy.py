@@ -190,6 +190,11 @@ def within(line: Column, ring: Column) -> Column:
     return inside & F.forall(line, lambda p: in_ring(p, ring)) & ~crosses(line, ring)
 
 
+def meets(line: Column, ring: Column) -> Column:
+    """Is a point of the line inside the ring, or does a step cut through it?"""
+    return F.exists(line, lambda p: in_ring(p, ring)) | crosses(line, ring)
+
+
 def within_area(line: Column, area: list[list[list[tuple[float, float]]]]) -> Column:
     """The line inside one of the area's parts, each a ring and the rings of its holes."""
     rings = lambda part: [F.array(*(point(F.lit(x), F.lit(y)) for x, y in r)) for r in part]
@@ -198,6 +203,6 @@ def within_area(line: Column, area: list[list[list[tuple[float, float]]]]) -> Co
         outer, *holes = rings(part)
         clear = within(line, outer)
         for hole in holes:
-            clear = clear & ~F.exists(line, lambda p, hole=hole: in_ring(p, hole)) & ~crosses(line, hole)
+            clear = clear & ~meets(line, hole)
         found = found | clear
     return found

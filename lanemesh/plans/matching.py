@@ -6,13 +6,16 @@ the target feature's id and a line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geodesy as geo
 from ..functions import scalars as s
-from ..operators import chains, grouping
+from ..lineage import checkpointed
+from ..operators import chains, grouping, numbering
 
 KEYS = ["target_map", "target_map_id"]
 
@@ -102,13 +105,36 @@ def as_multilines(targets: DataFrame, matches: DataFrame) -> DataFrame:
     return targets.select(*KEYS, "geometry").join(lines, KEYS).select(*KEYS, F.concat(F.array("geometry"), "m").alias("lines"))
 
 
-def retried(targets: DataFrame, match, attempts: int = 4) -> DataFrame:
-    """match(features, attempt) -> matches, called on what is unmatched so far; vertices are doubled after the second attempt."""
+def retried(targets: DataFrame, match: Callable[[DataFrame, int, str], DataFrame], attempts: int = 4, passes: tuple[str, ...] = ("motorway", "surface")) -> DataFrame:
+    """match(features, attempt, pass) -> matches, called on what is unmatched so far; vertices are doubled after the second attempt.
+
+    Each attempt makes a pass over motorways and then one over surface roads. A pass's matches are
+    checkpointed, so the matcher runs once for each. Features are told apart by map and id.
+    """
     left, found = targets, None
     for attempt in range(attempts):
-        got = match(left, attempt)
-        found = got if found is None else found.unionByName(got)
-        left = grouping.unmatched(left, got)
+        for kind in passes:
+            got = checkpointed(match(left, attempt, kind))
+            found = got if found is None else found.unionByName(got)
+            left = left.join(got.select(*KEYS).distinct(), KEYS, "left_anti")
         if attempt == 1:
             left = left.withColumn("geometry", geo.doubled(F.col("geometry")))
     return found.dropDuplicates()
+
+
+def batched(targets: DataFrame, size: int = 64, iteration: int = 1) -> DataFrame:
+    """Adds match_batch_id, from 1 in the order of places, and match_iteration_id."""
+    placed = numbering.number_globally(targets, ["county_region", "county_code", "geoprox_key", *KEYS], "__n")
+    return placed.withColumn("match_batch_id", F.expr(f"(__n - 1) div {size} + 1")).withColumn("match_iteration_id", F.lit(iteration)).drop("__n")
+
+
+def batch_counts(batches: DataFrame, matches: DataFrame) -> DataFrame:
+    """match_batch_id, features, matched (features with a match), matches."""
+    per = matches.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    joined = batches.join(per, KEYS, "left")
+    return joined.groupBy("match_batch_id").agg(F.count(F.lit(1)).alias("features"), F.count("n").alias("matched"), F.coalesce(F.sum("n"), F.lit(0)).alias("matches"))
+
+
+def progress(matches: DataFrame) -> DataFrame:
+    """target_map, matched: how many features of each map have a match."""
+    return matches.groupBy("target_map").agg(F.count_distinct("target_map_id").alias("matched"))

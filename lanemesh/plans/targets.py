@@ -107,6 +107,12 @@ def with_identification(features: DataFrame, csv: DataFrame, key: str = "tmc") -
     return joined.select(*(F.when(s.is_something(F.col(c)), F.col(c)).otherwise(F.col(f"__{c}")).alias(c) if c in columns else F.col(c) for c in features.columns), *(F.col(f"__{c}").alias(c) for c in columns if c not in features.columns))
 
 
+def in_order(df: DataFrame, county_code: str | None = None) -> DataFrame:
+    """Features, of one county if asked for, by region, county and place."""
+    own = df if county_code is None else df.where(F.col("county_code") == county_code)
+    return own.orderBy("county_region", "county_code", "geoprox_key", "target_map", "target_map_id")
+
+
 def save(df: DataFrame, path: str) -> None:
     df.write.partitionBy("target_map").mode("overwrite").parquet(path)
 

@@ -19,6 +19,12 @@ def multiline_json(lines: Column) -> Column:
     return F.struct(F.lit("MultiLineString").alias("type"), F.transform(lines, lambda line: F.transform(line, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))
 
 
+def polygon_json(rings: Column) -> Column:
+    """Rings are closed by their first points."""
+    closed = lambda ring: F.concat(ring, F.slice(ring, 1, 1))
+    return F.struct(F.lit("Polygon").alias("type"), F.transform(rings, lambda ring: F.transform(closed(ring), lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))
+
+
 def feature_json(properties: list[str | Column], geometry: Column, ident: Column | None = None) -> Column:
     """A GeoJSON feature as text; null properties are left out."""
     fields = [F.lit("Feature").alias("type"), *([ident.alias("id")] if ident is not None else []), F.struct(*properties).alias("properties"), geometry.alias("geometry")]

@@ -1,12 +1,14 @@
 """A small network, hand-made, from tiles and target maps to OSM, exports and quality."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from lanemesh import __main__ as command_line
 from lanemesh.functions import geodesy as geo
-from lanemesh.operators import partition
+from lanemesh.operators import chains, partition
 from lanemesh.plans import conflation, export, matching, osm, quality, references, targets
 from lanemesh.sources import readers, writers
 from lanemesh.streaming import incremental
@@ -187,15 +189,100 @@ def test_identification_and_retries(spark, tmp_path):
     f = spark.createDataFrame([("a", None), ("b", "own"), ("c", "z")], "tmc string, road string")
     got = {r.tmc: (r.road, r.direction) for r in targets.with_identification(f, csv).collect()}
     assert got["b"][0] == "own" and got["a"][1] == "S" and got["c"] == ("z", None)
-    t = spark.createDataFrame([("1", [A, B]), ("2", [B, C])], "target_map_id string, geometry array<struct<lon:double,lat:double>>")
+    t = spark.createDataFrame([("m", "1", [A, B]), ("m", "2", [B, C]), ("n", "1", [A, C])], "target_map string, target_map_id string, geometry array<struct<lon:double,lat:double>>")
     seen = []
 
-    def match(left, attempt):
-        seen.append((attempt, left.count(), max([len(r.geometry) for r in left.collect()], default=0)))
-        return left.where(F.col("target_map_id") == str(attempt + 1)).select("target_map_id")
-
-    assert matching.retried(t, match).count() == 2
-    assert seen[:2] == [(0, 2, 2), (1, 1, 2)]
+    def match(left, attempt, kind):
+        seen.append((attempt, kind, left.count(), max([len(r.geometry) for r in left.collect()], default=0)))
+        return left.where((F.col("target_map_id") == str(attempt + 1)) & (F.col("target_map") == ("m" if kind == "motorway" else "n"))).select("target_map", "target_map_id")
+
+    assert sorted(map(tuple, matching.retried(t, match).collect())) == [("m", "1"), ("m", "2"), ("n", "1")]
+    assert seen[:4] == [(0, "motorway", 3, 2), (0, "surface", 2, 2), (1, "motorway", 1, 2), (1, "surface", 0, 0)]
+
+
+def test_batches_and_counts(spark):
+    rows = [("m", str(i), "01", "36001", f"{i:04x}") for i in range(10)] + [("n", "0", "00", "36003", "ff")]
+    t = spark.createDataFrame(rows, "target_map string, target_map_id string, county_region string, county_code string, geoprox_key string")
+    b = matching.batched(t, 4)
+    got = {(r.target_map, r.target_map_id): r.match_batch_id for r in b.collect()}
+    assert got[("n", "0")] == 1 and got[("m", "2")] == 1 and got[("m", "3")] == 2 and got[("m", "9")] == 3
+    matches = spark.createDataFrame([("m", "0"), ("m", "0"), ("m", "8")], "target_map string, target_map_id string")
+    assert sorted(map(tuple, matching.batch_counts(b, matches).collect())) == [(1, 4, 1, 2), (2, 4, 0, 0), (3, 3, 1, 1)]
+    assert [tuple(r) for r in matching.progress(matches).collect()] == [("m", 2)]
+    assert [r.target_map_id for r in targets.in_order(t, "36001").collect()] == [str(i) for i in range(10)]
+    assert targets.in_order(t).first().target_map == "n"
+
+
+def test_areas_and_tiles(spark, tmp_path):
+    square = lambda x, y, d: [[x, y], [x + d, y], [x + d, y + d], [x, y + d], [x, y]]
+    area = {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[square(0, 0, 10), square(4, 4, 2)], [square(20, 0, 5)]]}}
+    (tmp_path / "a.json").write_text(json.dumps(area))
+    parts = readers.area(spark, f"file://{tmp_path}/a.json")
+    assert [len(p) for p in parts] == [2, 1] and len(parts[0][0]) == 4
+    lines = {"inside": [(1, 1), (3, 3)], "through the hole": [(1, 5), (9, 5)], "in the hole": [(4.5, 4.5), (5, 5)], "second part": [(21, 1), (22, 2)], "between parts": [(9, 1), (21, 1)], "outside": [(30, 30), (31, 31)]}
+    points = lambda ps: [(float(x), float(y)) for x, y in ps]
+    df = spark.createDataFrame([(n, points(ps)) for n, ps in lines.items()], "name string, line array<struct<lon:double,lat:double>>")
+    assert {r.name for r in df.where(geo.within_area(F.col("line"), parts)).collect()} == {"inside", "second part"}
+    dent = [(0, 0), (10, 0), (10, 10), (5, 2), (0, 10)]  # a line over the dent has both ends inside
+    cut = spark.createDataFrame([(points([(1, 6), (9, 6)]),), (points([(1, 1), (9, 1)]),)], "line array<struct<lon:double,lat:double>>")
+    assert [r[0] for r in cut.select(geo.within(F.col("line"), F.array(*(geo.point(F.lit(x), F.lit(y)) for x, y in dent)))).collect()] == [False, True]
+    far = spark.createDataFrame([([(-74.0, 42.0), (-73.5, 42.0)],)], "geometry array<struct<lon:double,lat:double>>")
+    none = spark.createDataFrame([], "tile_id string")
+    assert sorted(int(r.tile_id.split("-")[1]) for r in readers.missing_tiles(far, none).collect()) == list(range(1206, 1212))
+
+
+def test_forks_and_their_errors(spark):
+    """Walks with forks against a walk of all simple paths; whether groups form chains, by joins and by walking."""
+    rng = random.Random(5)
+    edges = [(g, f"{g}-{k}", str(rng.randrange(6)), str(rng.randrange(6)), k) for g in range(150) for k in range(rng.randint(1, 6))]
+    df = spark.createDataFrame(edges, "grp long, edge_id string, from_node string, to_node string, ordinal int").repartition(3)
+    walked = {}
+    for r in chains.sorted_chains(df, ["grp"], both_ways=True, all_chains=True).collect():
+        walked.setdefault(r.grp, []).append(r)
+    joined = {r.grp: r.ok for r in chains.forms_chains(df, ["grp"]).collect()}
+    assert joined == {g: rows[0].error is None for g, rows in walked.items()}
+    for both in (True, False):
+        got = {}
+        for r in chains.sorted_chains(df, ["grp"], both_ways=both).collect():
+            got.setdefault(r.grp, []).append(r)
+        for g, rows in got.items():
+            own = [chains.Edge(*e[1:4]) for e in edges if e[0] == g]
+            starts = [e for e in own if not any(o.leads_to(e) and not o.opposes(e) for o in own)]
+
+            def paths(chain):
+                on = [e for e in own if chain[-1].leads_to(e) and not any(e.id == c.id or e.opposes(c) for c in chain)]
+                return [p for e in on for p in paths([*chain, e])] if on else [[c.id for c in chain]]
+
+            all_, most = [p for s in starts for p in paths([s])], 2 if both else 1
+            if not starts or len(starts) > most or len(all_) > most:
+                assert rows[0].error == (chains.NO_SOURCE if not starts else (chains.MANY_SOURCES_2 if both else chains.MANY_SOURCES_1) if len(starts) > most else chains.MANY_CHAINS_2 if both else chains.MANY_CHAINS_1)
+            else:
+                ids = {}
+                for r in sorted(rows, key=lambda r: r.idx):
+                    ids.setdefault(r.chain, []).append(r.edge_id)
+                assert all(c in all_ for c in ids.values()) and max(map(len, all_)) in map(len, ids.values())
+
+
+def test_many_forks_end_early():
+    ladder = [chains.Edge(f"{k}{x}", k, k + 1) for k in range(40) for x in "ab"]
+    assert chains.sort_edges([chains.Edge("s", -1, 0), *ladder], True) == ([], chains.MANY_CHAINS_2)
+
+
+def test_output_plans(spark):
+    t = spark.createDataFrame([("m", "1", [A, B, C]), ("m", "2", [A, C])], "target_map string, target_map_id string, geometry array<struct<lon:double,lat:double>>")
+    m = spark.createDataFrame([("m", "1", [A, B]), ("m", "1", [B, C])], t.schema)
+    (left,) = export.unmatched_rows(t, m).collect()
+    assert json.loads(left.value)["properties"]["target_map_id"] == "2"
+    (lines,) = export.multiline_rows(t, m).collect()
+    assert [len(x) for x in json.loads(lines.value)["geometry"]["coordinates"]] == [3, 2, 2]
+    for r in export.polygon_rows(t, m).collect():
+        ring = json.loads(r.value)["geometry"]["coordinates"][0]
+        assert ring[0] == ring[-1]
+
+
+def test_command_line():
+    args = command_line.parser().parse_args(["load-target-map", "ris", "in", "out", "--county", "36001"])
+    assert (args.command, args.map, args.county) == ("load-target-map", "ris", "36001")
 
 
 def test_doubled_and_within(spark):
