@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-#: Pieces kept with their ids by each worker, and the longest piece kept.
+#: Pieces kept with their ids by each worker, as many again of older ones, and the longest piece kept.
 CACHED_PIECES, CACHED_LENGTH = 100_000, 48
 #: Texts above this many characters are cut into pieces a block at a time.
 BLOCK_TEXT, BLOCK_PIECES = 2_000_000, 200_000
@@ -173,16 +173,17 @@ class EditableEncoding:
 
 
 class _Pieces(dict):
-    """Piece of text to ids; bounded."""
+    """Piece of text to ids; bounded. When it is full, pieces that are met again come over from the older half."""
 
     def __init__(self, encoder: PrefixEncoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.encoder.encode_piece(piece.encode("utf-8", "surrogatepass")))
+        ids = self.older.pop(piece, None) or tuple(self.encoder.encode_piece(piece.encode("utf-8", "surrogatepass")))
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
