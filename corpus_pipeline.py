@@ -1,8 +1,9 @@
 """A training corpus from raw documents: five stages of the operators in lanemesh.llm.
 
 Each stage takes the whole table that its predecessor wrote and returns a DataFrame; all but the last
-return the columns of `documents`. Texts stay where they are: a stage decides by ids, hashes or the text
-itself and shuffles none of them.
+return the columns of `documents`. Language ID, mixing and encoding leave texts where they are. Line dedup
+and the near-copy stage join decisions by id; only where these are too many to be broadcast, by Spark's
+own threshold, are texts shuffled for that.
 
 Defined cases: rows with a null doc_id go at the first stage, as links and windows are by document;
 null, empty and letterless texts go there as well; rows that repeat a doc_id and text are kept alike, and
