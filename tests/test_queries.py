@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from lanemesh.queries import ORACLES, QUERIES
+from lanemesh.plan_queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
