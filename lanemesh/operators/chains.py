@@ -18,11 +18,15 @@ from pyspark.sql import functions as F
 from ..constants import VERTEX_KEY_DECIMALS
 from ..functions import geodesy as geo
 from ..functions.scalars import is_something
+from ..lineage import checkpointed
 
 # Names of errors.
 NO_SOURCE, MANY_SOURCES_1, MANY_SOURCES_2 = "ERR_NO_SOURCE_NODES", "ERR_NUM_SOURCE_NODES_EXCEEDS_1", "ERR_NUM_SOURCE_NODES_EXCEEDS_2"
 MANY_CHAINS_1, MANY_CHAINS_2 = "ERR_NUM_CHAINS_EXCEEDS_1", "ERR_NUM_CHAINS_EXCEEDS_2"
 
+#: From chains of this length on, the largest group is counted, which tells long chains from rings.
+RING_CHECK = 256
+
 
 def with_edge_nodes(df: DataFrame, keys: list[str]) -> DataFrame:
     """Sets from_node and to_node: the given ones if all edges of a group have one of them, else keys of the rounded end points."""
@@ -178,13 +182,29 @@ def sorted_chains(edges: DataFrame, keys: list[str], both_ways: bool, all_chains
     return dealt.sortWithinPartitions(*keys, F.col("ordinal").asc_nulls_last()).drop("ordinal").mapInArrow(run, schema)
 
 
-def simple_chains_sql(edges_view: str) -> str:
-    """Places in chains without forks by recursion over (grp, edge_id, from_node, to_node); for groups that are simple paths."""
-    return f"""
-    WITH RECURSIVE starts AS (
-      SELECT e.* FROM {edges_view} e LEFT ANTI JOIN {edges_view} o ON o.grp = e.grp AND o.to_node = e.from_node AND o.edge_id <> e.edge_id),
-    walk AS (
-      SELECT grp, edge_id, to_node, 0 AS idx FROM starts
-      UNION ALL
-      SELECT w.grp, e.edge_id, e.to_node, w.idx + 1 FROM walk w JOIN {edges_view} e ON e.grp = w.grp AND e.from_node = w.to_node)
-    SELECT grp, edge_id, idx FROM walk"""
+def simple_chains(edges: DataFrame) -> DataFrame:
+    """grp, edge_id, idx: places in chains without forks, by joins over (grp, edge_id, from_node, to_node).
+
+    Each edge looks for where its chain starts: what is known of the edge it has reached takes it as far again,
+    so a chain takes as many rounds as its length has binary digits. Of edges with several ways behind them there
+    is a row for each; rings that no start leads to give none.
+    """
+    e = edges.select("grp", "edge_id", "from_node", "to_node")
+    o = e.select(F.col("grp").alias("o_grp"), F.col("edge_id").alias("before"), F.col("to_node").alias("o_to"))
+    behind = (F.col("o_grp") == F.col("grp")) & (F.col("o_to") == F.col("from_node")) & (F.col("before") != F.col("edge_id"))
+    made = checkpointed(e.join(o, behind, "left").select("grp", "edge_id", "before", F.when(F.col("before").isNull(), 0).otherwise(1).alias("idx")))
+    done, live = made.where("before is null"), made.where("before is not null")
+    reach, most = 1, None
+    while not live.isEmpty():
+        if most is None and reach > RING_CHECK:
+            most = made.groupBy("grp").count().agg(F.max("count")).first()[0]
+        if most is not None and reach > 2 * most:
+            if not done.where(F.col("idx") >= most).isEmpty():
+                raise ValueError("a start leads into a ring of edges, so its chain has no end")
+            break
+        far = done.unionByName(live).select(F.col("grp").alias("o_grp"), F.col("edge_id").alias("at"), F.col("before").alias("farther"), F.col("idx").alias("more"))
+        on = (F.col("o_grp") == F.col("grp")) & (F.col("at") == F.col("before"))
+        step = checkpointed(live.join(far, on).select("grp", "edge_id", F.col("farther").alias("before"), (F.col("idx") + F.col("more")).alias("idx")))
+        done, live = done.unionByName(step.where("before is null")), step.where("before is not null")
+        reach *= 2
+    return done.select("grp", "edge_id", "idx")
