@@ -1,13 +1,16 @@
 """Removing overlaps among the intervals of one target map along one reference.
 
-`resolve` folds the intervals of a group in order of priority, as a sequence of decisions has to be.
+`resolve` folds the intervals of a group in order of priority, as a sequence of decisions has to be, many groups a task.
 `resolve_elementary` says the same for threshold 0 as a plan: cut at all ends, give every piece to its
 first claimant, and merge neighbouring pieces of one owner.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,14 +74,37 @@ def resolve(intervals: DataFrame, order: list[str], threshold: float = SPLIT_BUF
     """
     schema = intervals.schema
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        kept = fold(list(zip(pdf["start_dist"], pdf["end_dist"])), threshold)
-        out = pdf.iloc[[i for i, _, _ in kept]].copy()
-        out["start_dist"], out["end_dist"] = [a for _, a, _ in kept], [b for _, _, b in kept]
-        return out
-
-    return intervals.where("start_dist < end_dist").groupBy("reference_id", "target_map").applyInPandas(run, schema)
+    def folded(rows: pa.Table) -> list[pa.RecordBatch]:
+        firsts = np.flatnonzero(rows.column("__nth").to_numpy() == 1).tolist()
+        spans = list(zip(rows.column("start_dist").to_pylist(), rows.column("end_dist").to_pylist()))
+        index, starts, ends = [], [], []
+        for first, behind in zip(firsts, [*firsts[1:], len(spans)]):
+            for i, a, b in fold(spans[first:behind], threshold) if behind - first > 1 else [(0, *spans[first])]:
+                index.append(first + i)
+                starts.append(a)
+                ends.append(b)
+        out = rows.drop_columns(["__nth"]).take(pa.array(index, pa.int64()))
+        for c, values in (("start_dist", starts), ("end_dist", ends)):
+            at = out.schema.get_field_index(c)
+            out = out.set_column(at, out.schema.field(at), pa.array(values, out.schema.field(at).type))
+        return out.to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            firsts = np.flatnonzero(batch.column("__nth").to_numpy() == 1)
+            if held and len(firsts):
+                yield from folded(pa.Table.from_batches([*held, batch.slice(0, firsts[-1])]))
+                held = []
+            elif len(firsts) and firsts[-1]:
+                yield from folded(pa.Table.from_batches([batch.slice(0, firsts[-1])]))
+            held.append(batch.slice(firsts[-1]) if len(firsts) else batch)
+        if held:
+            yield from folded(pa.Table.from_batches(held))
+
+    # The window deals out and sorts the rows, so that groups come up whole, in order of priority, many a task.
+    line = W.partitionBy("reference_id", "target_map").orderBy(*(F.col(c).asc_nulls_last() for c in order))
+    return intervals.where("start_dist < end_dist").withColumn("__nth", F.row_number().over(line)).mapInArrow(run, schema)
 
 
 def resolve_elementary(intervals: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -1,11 +1,13 @@
 """What the second round found: long chains, many small groups, lines read once, keys past a million, ends on tile borders."""
 
+import collections
 import datetime
+import random
 
 import duckdb
 import pytest
 
-from lanemesh.operators import chains
+from lanemesh.operators import chains, overlaps
 from lanemesh.queries import ORACLES, QUERIES
 
 
@@ -36,3 +38,30 @@ def test_chains_rings_and_merges(spark, monkeypatch):
     assert got == [(2, "a", 0), (2, "b", 0), (2, "c", 1), (2, "c", 1), (2, "d", 2), (2, "d", 2), (3, "a", 0), (3, "b", 1)]
     with pytest.raises(ValueError):
         chains.simple_chains(spark.createDataFrame([*ring, (1, "s", "w", "x")], kinds)).collect()
+
+
+def test_overlaps_of_many_groups_in_one_call(spark):
+    draw = random.Random(5)
+    at = lambda: draw.randrange(60) / 100
+    # One reference has many intervals, most have few; some have no map, and a map can come without a reference.
+    refs = [None if n % 50 == 7 else n // 3 if n % 4 else 0 for n in range(600)]
+    rows = [(r, draw.choice(["a", "b", None]), draw.choice([*range(9), None]), n, f"x{n}", at(), at()) for n, r in enumerate(refs)]
+    df = spark.createDataFrame(rows, "reference_id long, target_map string, rank int, n int, tag string, start_dist double, end_dist double")
+    groups = collections.defaultdict(list)
+    for r in rows:
+        if r[5] < r[6]:
+            groups[r[:2]].append(r)
+    want = []
+    for g in groups.values():
+        g.sort(key=lambda r: (r[2] is None, r[2] or 0, r[3]))
+        want += [(*g[i][:5], a, b) for i, a, b in overlaps.fold([r[5:] for r in g], 0.02)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        out = overlaps.resolve(df, ["rank", "n"], 0.02)
+        got = list(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert overlaps.resolve(df.where("n < 0"), ["n"]).count() == 0
