@@ -130,32 +130,126 @@ def tail(line: Column, km: Column) -> Column:
     return geo.let(F.struct(measured(line).alias("m"), km.alias("km")), cut)
 
 
-def raw_offsets(df: DataFrame) -> DataFrame:
-    """df: match_geometry, geometry, length_km. Adds raw = (poff, noff), null for matches to be ignored.
+def _haversine(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray) -> np.ndarray:
+    ax, ay, bx, by = map(np.radians, (ax, ay, bx, by))
+    h = np.sin((by - ay) / 2) ** 2 + np.sin((bx - ax) / 2) ** 2 * np.cos(ay) * np.cos(by)
+    return 2 * EARTH_KM * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
 
-    The end is sought from half a match's length behind its start, so that loops are told apart.
-    """
-    line, match = F.col("geometry"), F.col("match_geometry")
 
-    def found(x: Column) -> Column:
-        end = x["from_km"] + F.when(F.size(x["rest"]) >= 2, nearest_km(x["rest"], geo.last(match))).otherwise(0.0)
-        poff = F.when(x["s"] > SPLIT_BUFFER_KM, x["s"]).otherwise(0.0)
-        return geo.let(end, lambda e: F.when(
-            x["rest"].isNotNull() & (x["s"] <= e) & (e - poff > SPLIT_BUFFER_KM), F.struct(poff.alias("poff"), (F.col("length_km") - e).alias("noff"))))
+def _lines(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """lon and lat of all points, and of each line its first point's place and its size."""
+    size = pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(lines)
+    lon, lat = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("lon", "lat"))
+    return lon, lat, np.cumsum(size) - size, size
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts of rows: each item's row, and its number in it."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Running sums, row by row."""
+    out = np.empty(len(values))
+    ends = np.cumsum(counts)
+    for a, b in zip((ends - counts).tolist(), ends.tolist()):
+        np.cumsum(values[a:b], out=out[a:b])
+    return out
+
+
+def _nearest(steps: tuple[np.ndarray, ...], sums: np.ndarray, counts: np.ndarray, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+    """nearest_km of lines, each of one step (ax, ay, bx, by) at least; sums: distances along the line to the steps' ends."""
+    row, nth = _spread(counts)
+    begin = np.cumsum(counts) - counts
+    before = np.where(nth == 0, 0.0, np.r_[0.0, sums[:-1]])
+    px, py = px[row], py[row]
+    scale = np.cos(np.radians(py))
+    ax, ay, bx, by = steps
+    dx, dy = (bx - ax) * scale, by - ay
+    ax, ay = (ax - px) * scale, ay - py
+    span = dx * dx + dy * dy
+    t = np.where(span == 0, 0.0, np.clip(-(ax * dx + ay * dy) / np.where(span == 0, 1.0, span), 0.0, 1.0))
+    d = (ax + t * dx) ** 2 + (ay + t * dy) ** 2
+    at = before + t * (sums - before)
+    return np.minimum.reduceat(np.where(d == np.minimum.reduceat(d, begin)[row], at, np.inf), begin)
+
+
+def _destination(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, km: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The point so many km from a on the way to b."""
+    lon, la, lb, d = np.radians(bx - ax), np.radians(ay), np.radians(by), km / EARTH_KM
+    bearing = np.radians(np.degrees(np.arctan2(np.sin(lon) * np.cos(lb), np.cos(la) * np.sin(lb) - np.sin(la) * np.cos(lb) * np.cos(lon))))
+    lat = np.arcsin(np.sin(la) * np.cos(d) + np.cos(la) * np.sin(d) * np.cos(bearing))
+    out = np.radians(ax) + np.arctan2(np.sin(bearing) * np.sin(d) * np.cos(la), np.cos(d) - np.sin(la) * np.sin(lat))
+    return np.degrees(out), np.degrees(lat)
+
+
+@F.arrow_udf(T.StructType([T.StructField("poff", T.DoubleType()), T.StructField("end", T.DoubleType())]))
+def _found(lines: pa.Array, matches: pa.Array) -> pa.Array:
+    """Of each match its start and end along its line; null where the match is to be ignored."""
+    many = len(lines)
+    x, y, first, size = _lines(lines)
+    mx, my, mfirst, msize = _lines(matches)
+    poff, end = np.zeros(many), np.zeros(many)
+    good = np.flatnonzero((size >= 2) & (msize >= 1))
+    with np.errstate(all="ignore"):
+        if len(good):
+            first, size, mfirst, msize = first[good], size[good], mfirst[good], msize[good]
+            row, nth = _spread(size - 1)
+            a = first[row] + nth
+            steps = (x[a], y[a], x[a + 1], y[a + 1])
+            length = _haversine(*steps)
+            sums = _sums(length, size - 1)
+            begin = np.cumsum(size - 1) - (size - 1)
+            s = _nearest(steps, sums, size - 1, mx[mfirst], my[mfirst])
+            mrow, mnth = _spread(msize - 1)
+            m = mfirst[mrow] + mnth
+            start = s + np.bincount(mrow, _haversine(mx[m], my[m], mx[m + 1], my[m + 1]), len(good)) / 2
+
+            # The rest of each line: the point at `start`, which lies in step k, and the vertices behind it.
+            total = sums[begin + size - 2]
+            passed = 1 + np.add.reduceat((sums <= start[row]).astype(np.int64), begin)
+            k = begin + np.minimum(passed, size - 1) - 1
+            behind = np.where(k > begin, sums[k - 1], 0.0)
+            px, py = _destination(*(c[k] for c in steps), start - behind)
+            px, py = np.where(start <= 0, steps[0][begin], px), np.where(start <= 0, steps[1][begin], py)
+            left = size - passed
+            stop = start.copy()
+            some = np.flatnonzero(left > 0)
+            if len(some):
+                rrow, rnth = _spread(left[some])
+                b = begin[some][rrow] + passed[some][rrow] - 1 + rnth
+                rest = (np.where(rnth == 0, px[some][rrow], steps[0][b]), np.where(rnth == 0, py[some][rrow], steps[1][b]), steps[2][b], steps[3][b])
+                tail_sums = _sums(_haversine(*rest), left[some])
+                final = (mfirst + msize - 1)[some]
+                stop[some] += _nearest(rest, tail_sums, left[some], mx[final], my[final])
+            off = np.where(s > SPLIT_BUFFER_KM, s, 0.0)
+            fits = (start <= total) & (s <= stop) & (stop - off > SPLIT_BUFFER_KM) & np.isfinite(stop)
+            poff[good[fits]], end[good[fits]] = off[fits], stop[fits]
+            good = good[fits]
+    gone = np.ones(many, bool)
+    gone[good] = False
+    return pa.StructArray.from_arrays([pa.array(poff), pa.array(end)], names=["poff", "end"], mask=pa.array(gone))
+
 
-    def started(x: Column) -> Column:
-        return geo.let(F.struct(x["s"].alias("s"), x["from_km"].alias("from_km"), tail(line, x["from_km"]).alias("rest")), found)
+def raw_offsets(df: DataFrame) -> DataFrame:
+    """df: match_geometry, geometry, length_km. Adds raw = (poff, noff), null for matches to be ignored.
 
-    begin = geo.let(nearest_km(line, geo.first(match)), lambda s: F.struct(s.alias("s"), (s + geo.length_km(match) / 2).alias("from_km")))
-    return df.withColumn("raw", geo.let(begin, started))
+    The end is sought from half a match's length behind its start, so that loops are told apart. One Arrow
+    function does it for a batch: as expressions, what follows would be worked out again wherever it is used.
+    """
+    line = lambda c: F.transform(c, lambda p: geo.point(p["lon"], p["lat"]))
+    df = df.withColumn("__found", _found(line("geometry"), line("match_geometry")))
+    found = F.struct(F.col("__found.poff").alias("poff"), (F.col("length_km") - F.col("__found.end")).alias("noff"))
+    return df.withColumn("raw", F.when(F.col("__found").isNotNull(), found)).drop("__found")
 
 
 def nearest_vertex(vertices: Column, field: str, at: Column, backward: bool) -> Column:
     """POFF of the nearest vertex but the first, if within half the buffer; ties go to the one met first."""
     inner = F.slice(vertices, 2, F.greatest(F.size(vertices) - 1, F.lit(0)))
     each = F.transform(inner, lambda v, i: F.struct(F.abs(v[field] - at).alias("d"), (-i if backward else i).alias("i"), v["poff"].alias("poff")))
-    best = F.array_min(each)
-    return F.when(best["d"] <= SPLIT_BUFFER_KM / 2, best["poff"])
+    return geo.let(F.array_min(each), lambda best: F.when(best["d"] <= SPLIT_BUFFER_KM / 2, best["poff"]))
 
 
 def snapped(df: DataFrame) -> DataFrame:

@@ -6,8 +6,11 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from lanemesh.operators import chains, overlaps
+from lanemesh.functions import geodesy as geo
+from lanemesh.operators import chains, offsets, overlaps
+from lanemesh.plan_queries import QUERIES as PLAN_QUERIES
 from lanemesh.queries import ORACLES, QUERIES
 
 
@@ -65,3 +68,18 @@ def test_overlaps_of_many_groups_in_one_call(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
     assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert overlaps.resolve(df.where("n < 0"), ["n"]).count() == 0
+
+
+def test_target_intervals_measure_each_line_once(spark):
+    out = PLAN_QUERIES["target_intervals"](spark, "/root/testdata/sf0.001")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ATAN2(") < 10
+
+
+def test_matches_without_points_are_ignored(spark):
+    road = [(i / 1000, 42.0) for i in range(4)]
+    cases = {"whole": road, "later": road[1:3], "reversed": road[::-1], "one point": road[:1], "none": [], "null": None, "no numbers": [(None, None), (None, None)]}
+    df = spark.createDataFrame([(n, road, m) for n, m in cases.items()], "name string, geometry array<struct<lon:double,lat:double>>, match_geometry array<struct<lon:double,lat:double>>")
+    far = spark.createDataFrame([("no line", None, road), ("a point", road[:1], road)], df.schema)
+    df = df.unionByName(far).withColumn("length_km", geo.length_km(F.col("geometry"))).coalesce(1)
+    got = {r["name"]: r["raw"] and tuple(round(v / r["length_km"], 4) for v in r["raw"]) for r in offsets.raw_offsets(df).collect()}
+    assert got == {"whole": (0, 0), "later": (0.3333, 0.3333)} | dict.fromkeys(["reversed", "one point", "none", "null", "no numbers", "no line", "a point"])
