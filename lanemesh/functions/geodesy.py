@@ -133,7 +133,8 @@ def tile_of(p: Column, zoom: int = 12) -> Column:
 def tiles_of(line: Column, zoom: int = 12) -> Column:
     """The Web-Mercator tiles that a line passes through, as `z-x-y`, each once.
 
-    Between the places where a step crosses the grid it is in one tile, which its middle there tells.
+    Between the places where a step crosses the grid it is in one tile, which its middle there tells. A tile that
+    a step's end only touches isn't passed through.
     """
     n = float(1 << zoom)
 
@@ -151,7 +152,7 @@ def tiles_of(line: Column, zoom: int = 12) -> Column:
         cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), crossings(a["x"], b["x"]), crossings(a["y"], b["y"])))
         middles = let(cuts, lambda c: F.transform(F.filter(F.arrays_zip(c.alias("t"), F.slice(c, 2, F.size(c)).alias("u")), lambda z: z["t"] < z["u"]), lambda z: (z["t"] + z["u"]) / 2))
         name = lambda x, y: F.concat_ws("-", F.lit(str(zoom)), F.floor(x).cast("string"), F.floor(y).cast("string"))
-        return F.concat(F.array(name(a["x"], a["y"]), name(b["x"], b["y"])), F.transform(middles, lambda t: name(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"]))))
+        return F.transform(middles, lambda t: name(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"])))
 
     grid = F.transform(line, placed)
     steps = lambda g: F.arrays_zip(g.alias("a"), F.slice(g, 2, F.size(g)).alias("b"))

@@ -88,3 +88,10 @@ def test_matches_without_points_are_ignored(spark):
 def test_longest_with_order_keys_past_a_million(spark, tmp_path):
     rows = [(5, 1, 1, 50.0, 2_000_000), (5, 2, 1, 49.0, 100), (6, 1, 1, 3.0, 7), (6, 1, 2, 3.0, 7), (6, 2, 1, 2.0, 1), (7, 1, 1, 4.0, 9_000_000)]
     equals_sql(spark, tmp_path, "geometry_merge_longest", "lineitem", rows, "l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, l_orderkey long")
+
+
+def test_tiles_of_lines_that_end_on_a_border(spark, tmp_path):
+    on_border = [k for k in range(700_000) if k * 7919 % 700_000 % 140_625 == 25_000]
+    keys = sorted({k + d for k in on_border for d in (-1, 0)})
+    assert len(on_border) == 5
+    equals_sql(spark, tmp_path, "tile_cover", "customer", [(k,) for k in keys], "c_custkey long")
