@@ -252,18 +252,40 @@ def nearest_vertex(vertices: Column, field: str, at: Column, backward: bool) ->
     return geo.let(F.array_min(each), lambda best: F.when(best["d"] <= SPLIT_BUFFER_KM / 2, best["poff"]))
 
 
+@F.arrow_udf(T.DoubleType())
+def _snapped_end(vertices: pa.Array, poff: pa.Array, noff: pa.Array, total: pa.Array) -> pa.Array:
+    """A match's end, snapped; null without offsets or vertices, or where what lies between the snapped ends is too short."""
+    po, no, total = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in (poff, noff, total))
+    size = pc.fill_null(pc.list_value_length(vertices), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(vertices)
+    vp, vn = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("poff", "noff"))
+    start, end = po.copy(), total - no
+    # As nearest_vertex: all vertices but the first, of equally near ones the first met from the match's side.
+    some = np.flatnonzero(size > 1)
+    with np.errstate(all="ignore"):
+        if len(some):
+            row, nth = _spread(size[some] - 1)
+            begin = np.cumsum(size[some] - 1) - (size[some] - 1)
+            at = (np.cumsum(size) - size)[some][row] + 1 + nth
+            for field, want, out, pick, none in ((vp, po, start, np.minimum, len(vp)), (vn, no, end, np.maximum, -1)):
+                d = np.abs(field[at] - want[some][row])
+                least = np.minimum.reduceat(d, begin)
+                best = pick.reduceat(np.where(d == least[row], at, none), begin)
+                near = least <= SPLIT_BUFFER_KM / 2
+                out[some[near]] = vp[best[near]]
+        start, end = np.where(po <= SPLIT_BUFFER_KM, 0.0, start), np.where(no <= SPLIT_BUFFER_KM, total, end)
+        keep = (end - start >= SPLIT_BUFFER_KM) | ((end - start) / total >= LENGTH_RATIO)
+    keep &= vertices.is_valid().to_numpy(zero_copy_only=False) & ~np.isnan(po)
+    return pa.array(end, mask=~keep)
+
+
 def snapped(df: DataFrame) -> DataFrame:
     """df: raw, vertices, length_km. Adds start_dist and end_dist; both null where the match is to be dropped.
 
     The snapped start only decides about dropping: what is kept is the raw one.
     """
-    poff, noff, total = F.col("raw.poff"), F.col("raw.noff"), F.col("length_km")
-    start = F.when(poff <= SPLIT_BUFFER_KM, 0.0).otherwise(F.coalesce(nearest_vertex(F.col("vertices"), "poff", poff, False), poff))
-    end = F.when(noff <= SPLIT_BUFFER_KM, total).otherwise(F.coalesce(nearest_vertex(F.col("vertices"), "noff", noff, True), total - noff))
-    short = lambda x: (x["end"] - x["start"] < SPLIT_BUFFER_KM) & ((x["end"] - x["start"]) / total < LENGTH_RATIO)
-    ends = geo.let(F.struct(start.alias("start"), end.alias("end")), lambda x: F.when(F.col("raw").isNotNull() & F.col("vertices").isNotNull() & ~short(x), x["end"]))
-    df = df.withColumn("end_dist", ends)
-    return df.withColumn("start_dist", F.when(F.col("end_dist").isNotNull(), poff))
+    df = df.withColumn("end_dist", _snapped_end("vertices", "raw.poff", "raw.noff", "length_km"))
+    return df.withColumn("start_dist", F.when(F.col("end_dist").isNotNull(), F.col("raw.poff")))
 
 
 def match_intervals(references: DataFrame, matches: DataFrame) -> DataFrame:
