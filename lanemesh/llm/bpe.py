@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import lean, small_batches
 
 #: Pieces kept with their ids by each worker, as many again of older ones, and the longest piece kept.
 CACHED_PIECES, CACHED_LENGTH = 100_000, 48
@@ -260,4 +260,4 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kee
 
     ddl = "doc_id long, " + "".join(f"{k} string, " for k in kept) + "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(k).cast("string").alias(k) for k in kept), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, ddl)
+    return source.mapInArrow(lean(run), ddl)

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, grouped, materialized, small_batches, spread_join, text_or_empty
+from .common import dropped, grouped, lean, materialized, small_batches, spread_join, text_or_empty
 from .graph import components
 from .suffixes import POWERS, TABLE, _packed, _unpacked, mix
 
@@ -151,14 +151,14 @@ def described(rows: DataFrame, n: int) -> DataFrame:
             flat, counts = shingle_sets(texts, n)
             ends = np.cumsum(counts)
             sids = [set_id(flat[b - c : b]) for b, c in zip(ends.tolist(), counts.tolist())]
-            cells += np.bincount(cell_of(flat), minlength=CELLS).astype(np.uint32)
+            np.add.at(cells, cell_of(flat), 1)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(sids, pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], schema=schema)
         if cells.any():
             parts = [pa.compress(c.tobytes(), codec="zstd", asbytes=True) for c in cells.reshape(CHUNKS, -1)]
             none = pa.nulls(CHUNKS, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
-    return rows.mapInArrow(run, "doc_id long, n long, sid long, chunk int, counts binary")
+    return rows.mapInArrow(lean(run), "doc_id long, n long, sid long, chunk int, counts binary")
 
 
 def levels(found: DataFrame) -> np.ndarray:
@@ -175,7 +175,7 @@ def levels(found: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["chunk", "level"])
 
     out = np.zeros((CHUNKS, CELLS // CHUNKS), np.uint8)
-    for row in found.where("chunk is not null").select("chunk", "counts").repartition(CHUNKS, "chunk").mapInArrow(run, "chunk int, level binary").collect():
+    for row in found.where("chunk is not null").select("chunk", "counts").repartition(CHUNKS, "chunk").mapInArrow(lean(run), "chunk int, level binary").collect():
         out[row["chunk"]] = np.frombuffer(row["level"], np.uint8)
     return out.ravel()
 
@@ -301,8 +301,8 @@ def prefix_lists(rows: DataFrame, n: int, percent: int, level: np.ndarray, bucke
     def long_rows(e: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(e["s"]), pa.nulls(len(e), pa.int64()), pa.array(e["t"]), pa.array(e["n"].astype(np.int64)), pa.array(e["p"].astype(np.int64))], schema=LISTED)
 
-    blobs = rows.mapInArrow(deal, "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
-    return blobs.mapInArrow(meet, "x long, y long, token long, n long, p long")
+    blobs = rows.mapInArrow(lean(deal), "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
+    return blobs.mapInArrow(lean(meet), "x long, y long, token long, n long, p long")
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -319,7 +319,7 @@ def sets_of(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     pa.array([x.tobytes() for x in part], pa.binary()), pa.array([parities(x) for x in part], pa.binary()),
                 ], names=["sid", "n", "tokens", "bits"])
 
-    return rows.join(wanted, "doc_id").select("sid", "text").mapInArrow(run, "sid long, n long, tokens binary, bits binary")
+    return rows.join(wanted, "doc_id").select("sid", "text").mapInArrow(lean(run), "sid long, n long, tokens binary, bits binary")
 
 
 def parities(tokens: np.ndarray) -> bytes:
@@ -355,7 +355,7 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = pa.array((far <= nx + ny - 2 * need) & (need <= np.minimum(nx, ny)))
             yield pa.RecordBatch.from_arrays([batch.column("x").filter(ok), batch.column("y").filter(ok)], names=["x", "y"])
 
-    return both.mapInArrow(run, "x long, y long")
+    return both.mapInArrow(lean(run), "x long, y long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differences: bool, parts: int, label: str, load: int = 256) -> DataFrame:
@@ -397,7 +397,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, near: int, differe
 
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("nx", pa.int64()), ("ny", pa.int64()), ("linked", pa.bool_()), ("near", pa.bool_()), *([("lack", pa.binary()), ("more", pa.binary())] if differences else [])])
     dealt = own.unionByName(left).repartition(parts, "x", "part").sortWithinPartitions("x", "part", F.col("y").asc_nulls_first())
-    out = materialized(dealt.mapInArrow(run, "x long, y long, nx long, ny long, linked boolean, near boolean" + ", lack binary, more binary" * differences), label)
+    out = materialized(dealt.mapInArrow(lean(run), "x long, y long, nx long, ny long, linked boolean, near boolean" + ", lack binary, more binary" * differences), label)
     dropped(pairs)
     return out
 
@@ -425,7 +425,7 @@ def derived(star: DataFrame, percent: int, parts: int, block: int = 256) -> Data
                 yield found
 
     keys = ["x", "zb", "yb"]
-    return z.unionByName(y).repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
+    return z.unionByName(y).repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(lean(run), "a long, b long")
 
 
 def difference_links(z: pd.DataFrame, y: pd.DataFrame, percent: int, most: int = 4_000_000) -> pd.DataFrame:

@@ -32,12 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import lean, small_batches
 from .suffixes import POWERS, TABLE, mix
 
 UNKNOWN = "und"
 GRAMS, LEXICON = 1 << 16, 1 << 16
 BLOCK_WORDS, BATCH_BYTES, PART_BYTES = 128, 2 << 20, 1 << 19
+#: Lanes whose gradients training works out at a time.
+PART_LANES = 512
 _LETTER = regex.compile(r"\p{L}")
 _letters = np.zeros(256, np.uint8)
 _letters[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -70,6 +72,12 @@ def words_of(texts: list[str]) -> Words:
     return Words(data, start, end, np.diff(np.searchsorted(start, bounds, side="right")) if len(texts) else np.empty(0, np.int64))
 
 
+def words_between(w: Words, begin: int, end: int) -> Words:
+    """Words `begin` to `end` (exclusive, later) of `w`, as of one text, with no bytes but theirs and those beside them."""
+    lo = w.start[begin] - 1
+    return Words(w.data[lo : w.end[end - 1] + 4], w.start[begin:end] - lo, w.end[begin:end] - lo, np.array([end - begin]))
+
+
 def word_hashes(w: Words) -> np.ndarray:
     up, down = POWERS.upto(len(w.data) + 1)
     prefix = np.zeros(len(w.data) + 1, np.uint64)
@@ -237,40 +245,37 @@ def train(texts: list[str], langs: list[str], rounds: int = 30, lane: int = 64,
         return model
     gold = np.repeat(label, w.counts)
     model.known = np.bincount((word_hashes(w) % np.uint64(LEXICON)).astype(np.int64), minlength=LEXICON) >= seen
-    two, three = model.gram_features(w)
-    *affixes, h = model.word_features(w)
-    word_at = np.full(len(two), -1)
-    grow = w.end - w.start + 1
-    at = np.repeat(w.start - 1 - (np.cumsum(grow) - grow), grow) + np.arange(grow.sum())
-    at = at[at < len(two)]
-    word_at[at] = np.repeat(np.arange(len(w.start)), grow)[: len(at)]
-    inner = np.flatnonzero(word_at >= 0)
-    owner = word_at[inner]
-    sums = [np.zeros_like(x, dtype=np.float32) for x in (model.grams, model.affixes, model.lexicon)]
+    tables = [*model.grams, *model.affixes, model.lexicon]
+    sums = [np.zeros_like(x) for x in tables]
     move_sum = np.zeros((n, n))
     pair_gold = np.zeros((n, n))
     lanes = gold[:steps].reshape(-1, lane)
     np.add.at(pair_gold, (lanes[:, :-1].ravel(), lanes[:, 1:].ravel()), 1)
+    size = PART_LANES * lane
     for _ in range(rounds):
-        s = model.scores(w)[:steps].astype(np.float64)
-        e = np.exp(s - s.max(1, keepdims=True)).reshape(-1, lane, n) + 1e-30
-        p, pairs = lane_gradients(e, np.exp(model.moves - model.moves.max()))
-        g = np.zeros((len(w.start), n))
-        g[:steps] = -p.reshape(-1, n)
-        g[np.arange(steps), gold[:steps]] += 1
-        g *= 1 / lane
-
-        def move(weights: np.ndarray, total: np.ndarray, index: np.ndarray, grad: np.ndarray, owner: np.ndarray | None = None) -> None:
+        grads, pairs = [np.zeros(x.shape[::-1]) for x in tables], np.zeros((n, n))
+        for begin in range(0, steps, size):
+            part = words_between(w, begin, min(begin + size, steps))
+            s = model.scores(part).astype(np.float64)
+            e = np.exp(s - s.max(1, keepdims=True)).reshape(-1, lane, n) + 1e-30
+            p, moved = lane_gradients(e, np.exp(model.moves - model.moves.max()))
+            pairs += moved
+            g = -p.reshape(-1, n)
+            g[np.arange(len(g)), gold[begin : begin + len(g)]] += 1
+            g *= 1 / lane
+            grow = part.end - part.start + 1
+            owner = np.repeat(np.arange(len(grow)), grow)
+            inner = np.arange(len(owner)) + np.repeat(part.start - 1 - (np.cumsum(grow) - grow), grow)
+            features = [*((x[inner].astype(np.int64), owner) for x in model.gram_features(part)), *((x.astype(np.int64), None) for x in model.word_features(part))]
+            for c in range(n):
+                own = np.ascontiguousarray(g[:, c])
+                for total, (index, of) in zip(grads, features):
+                    total[c] += np.bincount(index, own if of is None else own[of], total.shape[1])
+        for weights, total, d in zip(tables, sums, grads):
             for c in range(n):
-                d = np.bincount(index, grad[:, c] if owner is None else grad[:, c][owner], len(weights)) - decay * weights[:, c]
-                total[:, c] += d * d
-                weights[:, c] += rate * d / np.sqrt(total[:, c] + 1e-8)
-
-        move(model.grams[0], sums[0][0], two[inner], g, owner)
-        move(model.grams[1], sums[0][1], three[inner], g, owner)
-        for k, index in enumerate(affixes):
-            move(model.affixes[k], sums[1][k], index, g)
-        move(model.lexicon, sums[2], h, g)
+                x = d[c] - decay * weights[:, c]
+                total[:, c] += x * x
+                weights[:, c] += rate * x / np.sqrt(total[:, c] + 1e-8)
         model.lexicon[LEXICON] = 0
         d = (pair_gold - pairs) / lane
         move_sum += d * d
@@ -350,7 +355,7 @@ def learned(docs: DataFrame, sample: int = 120, most_labels: int = 64, most_word
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     # One task fits the bounded sample, and only that travels to it; the driver only passes the model on.
-    return pickle.loads(rows.where(chosen).repartition(1).mapInArrow(fit, "model binary").first()["model"])
+    return pickle.loads(rows.where(chosen).repartition(1).mapInArrow(lean(fit), "model binary").first()["model"])
 
 
 def identified(docs: DataFrame, model: Model | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -374,4 +379,4 @@ def identified(docs: DataFrame, model: Model | None = None, columns: tuple[str,
                     langs, shares = predict(shipped.value, texts.slice(a, b - a).to_pylist())
                     yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names[:-2]), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=names)
 
-    return source.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return source.mapInArrow(lean(run), T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -75,3 +76,29 @@ def test_words_are_shared_by_languages_and_texts():
     counts = lambda most: [(lang, len(text.split())) for _, lang, text in language.shared(found, most)]
     assert counts(120) == [("a", 28), ("b", 2), ("a", 3), ("c", 49), ("a", 28), ("c", 10)]
     assert language.shared(found, 10_000) == found and language.shared([], 10) == []
+
+
+def test_training_holds_a_part_of_its_words_at_a_time():
+    rng = np.random.default_rng(3)
+    texts, langs = [], []
+    for lang in ("aa", "bb", "cc", "dd"):
+        words = ["".join(x) for x in rng.choice(list("abcdefghijkl"), (2000, 6))]
+        texts += [" ".join(rng.choice(words, 50_000))]
+        langs += [lang]
+    tracemalloc.start()
+    try:
+        model = language.train(texts, langs, rounds=1)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.labels == ["aa", "bb", "cc", "dd"] and most < 130e6
+
+
+def test_parts_change_no_weights(monkeypatch):
+    texts = ["der Hund und die Katze sind im Haus " * 40, "the dog and the cat are in the house " * 40, "le chien et le chat sont dans la maison " * 40]
+    whole = language.train(texts, ["de", "en", "fr"], rounds=5)
+    monkeypatch.setattr(language, "PART_LANES", 1)
+    parts = language.train(texts, ["de", "en", "fr"], rounds=5)
+    for name in ("grams", "affixes", "lexicon", "moves"):
+        assert np.abs(getattr(whole, name)).max() > 0.1
+        assert np.allclose(getattr(whole, name), getattr(parts, name), atol=1e-5)
