@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import dropped, materialized, small_batches, spread_join, text_or_empty
+from .common import dropped, lean, materialized, small_batches, spread_join, text_or_empty
 
 K = 36
 #: Text handled at a time by a task of step 1; bytes hashed at a time; text bytes a task of steps 1 and 3.
@@ -52,6 +52,7 @@ TABLE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 SINGLE = np.dtype([("h", "<u8"), ("p", "<i8"), ("d", "<i8"), ("a", "u1"), ("b", "u1")])
+HASH = np.dtype([("h", "<u8")])
 
 
 class Powers:
@@ -190,46 +191,47 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, slots, texts in _blocks(batches):
             all_ = anchors(texts, ids, slots, length)
+            texts.clear()
             all_ = all_[np.argsort(all_["h"], kind="stable")]
             new = np.r_[True, all_["h"][1:] != all_["h"][:-1]] if len(all_) else np.empty(0, bool)
             alone = new & np.r_[new[1:], True][: len(new)]
-            rows = []
             # Kind 0: asks whether it is shared. 1: shared here, tells the others. 2: shared here, passes on.
             for kind, x in ((0, all_[alone]), (1, all_[new & ~alone]), (2, all_[~alone])):
-                to = (x["h"] % np.uint64(buckets)).astype(np.int64) if kind < 2 else _bucket(x, buckets)
+                rows, to = [], (x["h"] % np.uint64(buckets)).astype(np.int64) if kind < 2 else _bucket(x, buckets)
                 order = np.lexsort((x["p"], x["d"], to))
                 x, to = x[order], to[order]
                 cut = np.searchsorted(to, np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cut)):
                     part = x[cut[b] : cut[b + 1]]
                     if kind == 1:
-                        part = part[["h"]].astype([("h", "<u8")])
+                        part = part[["h"]].astype(HASH)
                     rows.append((int(b), kind, len(part), _packed(part)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask, tell, ready = {}, {}, []
         for batch in batches:
             for b, kind, n, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind == 1:
-                    tell.setdefault(b, []).append(_unpacked(data, n, np.dtype([("h", "<u8")]))["h"])
+                    tell.setdefault(b, []).append((data, n))
                 elif kind == 0:
-                    ask.setdefault(b, []).append(_unpacked(data, n, SINGLE))
+                    ask.setdefault(b, []).append((data, n))
                 else:
                     ready.append(_unpacked(data, n, SINGLE))
             if sum(map(len, ready)) > 1_000_000:
                 yield from by_document(np.concatenate(ready))
                 ready = []
-        for b, parts in ask.items():
-            x = np.concatenate(parts)
+        while ask:  # a task may have several buckets, of which one at a time is unpacked
+            b, parts = ask.popitem()
+            x = np.concatenate([_unpacked(data, n, SINGLE) for data, n in parts])
             order = np.argsort(x["h"], kind="stable")
             h = x["h"][order]
             twice = np.zeros(len(h), bool)
             twice[1:] = h[1:] == h[:-1]
             twice[:-1] |= twice[1:]
             if b in tell:
-                twice |= np.isin(h, np.unique(np.concatenate(tell[b])))
+                twice |= np.isin(h, np.unique(np.concatenate([_unpacked(data, n, HASH)["h"] for data, n in tell.pop(b)])))
             ready.append(x[order[twice]])
             if sum(map(len, ready)) > 1_000_000:
                 yield from by_document(np.concatenate(ready))
@@ -249,8 +251,8 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 pa.array([_packed(x[cut[b] : cut[b + 1]]) for b in full], pa.binary()),
             ], names=["bucket", "n", "data"])
 
-    blobs = docs.mapInArrow(deal, "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
-    return blobs.mapInArrow(meet, "bucket int, n long, data binary")
+    blobs = docs.mapInArrow(lean(deal), "bucket int, kind int, n long, data binary").repartition(buckets, "bucket")
+    return blobs.mapInArrow(lean(meet), "bucket int, n long, data binary")
 
 
 def hot_cells(shared: DataFrame, hot_rows: int) -> np.ndarray:
@@ -260,13 +262,13 @@ def hot_cells(shared: DataFrame, hot_rows: int) -> np.ndarray:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
             for n, data in zip(batch.column("n"), batch.column("data")):
-                total += np.bincount((_unpacked(data.as_py(), n.as_py(), SINGLE)["h"] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                np.add.at(total, (_unpacked(data.as_py(), n.as_py(), SINGLE)["h"] % np.uint64(CELLS)).astype(np.int64), 1)
         cell = np.flatnonzero(total)
         for at in range(0, len(cell), 100_000):
             c = cell[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(total[c])], names=["cell", "n"])
 
-    hot = shared.select("n", "data").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("cell")
+    hot = shared.select("n", "data").mapInArrow(lean(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("cell")
     bits = np.zeros(CELLS, bool)
     for row in hot.toLocalIterator():
         bits[row[0]] = True
@@ -285,7 +287,7 @@ def compressed(rows: DataFrame) -> DataFrame:
             texts = _utf8(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("slot"), pa.array(list(map(len, texts)), pa.int64()), pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in texts], pa.binary())], names=["doc_id", "slot", "n", "data"])
 
-    return rows.select("doc_id", "slot", "text").mapInArrow(run, "doc_id long, slot long, n long, data binary")
+    return rows.select("doc_id", "slot", "text").mapInArrow(lean(run), "doc_id long, slot long, n long, data binary")
 
 
 def text_of(data: pa.Scalar, n: pa.Scalar) -> bytes:
@@ -349,6 +351,7 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
                     if own is None:
                         own = np.concatenate(marks)
                         own = own[np.lexsort((own["p"], own["d"]))]
+                        marks = [own]
                         owners, places = np.ascontiguousarray(own["d"]), np.ascontiguousarray(own["p"])
                     lo, hi = np.searchsorted(owners, doc_id), np.searchsorted(owners, doc_id, side="right")
                     lo, hi = lo + np.searchsorted(places[lo:hi], [slot, slot + (1 << SLOT)])
@@ -366,7 +369,7 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
     none = F.lit(None).cast("long")
     row = lambda df, kind: df.select(to if "doc_id" in df.columns else "bucket", F.lit(kind).alias("kind"), F.col("doc_id") if "doc_id" in df.columns else none.alias("doc_id"), F.col("slot") if "slot" in df.columns else none.alias("slot"), F.col("n") if "n" in df.columns else F.lit(0).cast("long").alias("n"), F.col("data") if "data" in df.columns else F.lit(None).cast("binary").alias("data"))
     dealt = row(shared, 0).unionByName(row(copies, 1)).unionByName(row(texts, 2))
-    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, SNIPPETS)
+    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lean(run), SNIPPETS)
 
 
 class Suffixes:
@@ -497,6 +500,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         if not held:
             return
         x = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
         if not x.num_rows:
             return
         key, doc, lo, n, top = (x.column(c).to_numpy() for c in ("key", "doc", "lo", "n", "a"))
@@ -530,7 +534,7 @@ def repeats(found: DataFrame, length: int, parts: int) -> DataFrame:
         last = np.r_[np.flatnonzero(new)[1:] - 1, len(doc) - 1]
         return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(lo[new]), pa.array(lo[last] + n[last] - 1)], names=["doc_id", "lo", "hi"])
 
-    return found.repartition(parts, "key").mapInArrow(run, "doc_id long, lo long, hi long")
+    return found.repartition(parts, "key").mapInArrow(lean(run), "doc_id long, lo long, hi long")
 
 
 def merged(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -593,7 +597,7 @@ def deduplicated(docs: DataFrame, length: int = 100, hot_rows: int = HOT_ROWS, t
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-    changed = texts_.join(cuts, ["doc_id", "slot"]).mapInArrow(cut, "doc_id long, slot long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id", "slot"])
+    changed = texts_.join(cuts, ["doc_id", "slot"]).mapInArrow(lean(cut), "doc_id long, slot long, n_removed long, n_spans long, own_sha string" + ", kept binary" * texts).dropDuplicates(["doc_id", "slot"])
     whole = F.col("copy") & (F.col("n_bytes") >= length)
     result = status.join(changed, ["doc_id", "slot"], "left").select(
         F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "n_bytes",

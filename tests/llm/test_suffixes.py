@@ -1,8 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from lanemesh.llm import suffixes
 
@@ -106,3 +109,61 @@ def test_sort_agrees_with_plain_sorting():
     for g in set(group):
         mine, plain = got[group == g], sorted(at[group == g].tolist(), key=lambda i: data[i : i + 50])
         assert [data[i : i + 50] for i in mine] == [data[i : i + 50] for i in plain]
+
+
+class Functions:
+    """Stands for a table; keeps the functions that are to run over it."""
+
+    def __init__(self):
+        self.found = []
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        self.found.append(function)
+        return self
+
+    def repartition(self, *args):
+        return self
+
+
+def test_a_task_with_several_buckets_unpacks_one_at_a_time():
+    docs, buckets, n = Functions(), 12, 100_000
+    _, meet = suffixes.shared_anchors(docs, 100, buckets).found
+    rows = []
+    for b in range(buckets):
+        x = np.zeros(n, suffixes.SINGLE)
+        x["h"] = (np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(buckets) + np.uint64(b)
+        x["d"], x["p"] = np.arange(n) // 50, np.arange(n) % 50 * 33
+        x["h"][-2:] = b  # the only hash that occurs twice
+        rows.append((b, 0, n, suffixes._packed(x)))
+    told = np.array([(2 * buckets + 3,)], [("h", "<u8")])  # another block has this one twice
+    rows.append((3, 1, 1, suffixes._packed(told)))
+    names = ["bucket", "kind", "n", "data"]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    batches = [pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(r, types)], names=names) for r in rows]
+    tracemalloc.start()
+    try:
+        out = list(meet(iter(batches)))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    got = np.concatenate([suffixes._unpacked(d, k, suffixes.SINGLE) for batch in out for k, d in zip(batch.column("n").to_pylist(), batch.column("data").to_pylist())])
+    assert sorted(got["h"].tolist()) == sorted([b for b in range(buckets) for _ in range(2)] + [2 * buckets + 3])
+    assert most < 20e6
+
+
+def test_counting_cells_holds_one_count_a_cell():
+    shared = Functions()
+    shared.select = lambda *names: shared
+    with pytest.raises(AttributeError):  # there is no table behind it
+        suffixes.hot_cells(shared, 3)
+    (count,) = shared.found
+    x = np.zeros(5, suffixes.SINGLE)
+    x["h"] = [7, 7, suffixes.CELLS + 7, 9, 9]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 5]), pa.array([suffixes._packed(x)] * 2, pa.binary())], names=["n", "data"])
+    tracemalloc.start()
+    try:
+        out = [r for b in count(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out == [(7, 6), (9, 4)] and most < 1.5 * 8 * suffixes.CELLS
