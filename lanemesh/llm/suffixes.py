@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import dropped, lean, materialized, small_batches, spread_join, text_or_empty
+from .common import dropped, give_back, lean, materialized, small_batches, spread_join, text_or_empty
 
 K = 36
 #: Text handled at a time by a task of step 1; bytes hashed at a time; text bytes a task of steps 1 and 3.
@@ -84,8 +84,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Entry i: sum of the codes of data[:i] times powers of the base."""
     up, _ = POWERS.upto(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(TABLE[data] * up[: len(data)], out=out[1:])
-    return out
+    out[1:] = TABLE[data]
+    out[1:] *= up[: len(data)]
+    return np.cumsum(out, out=out)
 
 
 def window_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,6 +193,7 @@ def shared_anchors(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         for ids, slots, texts in _blocks(batches):
             all_ = anchors(texts, ids, slots, length)
             texts.clear()
+            give_back()
             all_ = all_[np.argsort(all_["h"], kind="stable")]
             new = np.r_[True, all_["h"][1:] != all_["h"][:-1]] if len(all_) else np.empty(0, bool)
             alone = new & np.r_[new[1:], True][: len(new)]
@@ -316,6 +318,8 @@ def snippets(texts: DataFrame, shared: DataFrame, copies: DataFrame, length: int
         def flush(rows: list) -> Iterator[pa.RecordBatch]:
             key, doc, lo, n, top = (np.concatenate([r[k] for r in rows]) for k in range(5))
             data = pa.array([d for r in rows for d in r[5]], pa.binary())
+            rows.clear()
+            give_back()
             head = combined(key, doc, lo, n, data)
             keep = head == np.arange(len(head))
             known = ~keep & ((doc[head] != doc) | (lo[head] != lo))
